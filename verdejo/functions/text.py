@@ -43,10 +43,21 @@ def _folds() -> tuple[dict[str, str], list[str], dict[str, str]]:
     return single, dropped, several
 
 
+def _char_class(chars) -> str:
+    """A short regex class that covers the characters; small gaps are closed."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if spans and code - spans[-1][1] <= 8:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 def _fold_several(c: Column, several: dict[str, str]) -> Column:
     """Ligatures, fractions and enclosed letters; rare, so only on rows that have one."""
     table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
-    marks = "[" + "".join(several) + "]"
+    marks = _char_class(several)
     spelled = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
@@ -59,8 +70,7 @@ def normal_form(c: str | Column) -> Column:
     single, dropped, several = _folds()
     text = _fold_several(text, several)
     text = F.translate(text, "".join(single) + "".join(dropped), "".join(single.values()))
-    text = F.regexp_replace(text, "[^a-z0-9 ]+", " ")
-    return F.coalesce(F.trim(F.regexp_replace(text, " +", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(text, "[^a-z0-9]+", " ")), F.lit(""))
 
 
 def tight_key(c: str | Column) -> Column:

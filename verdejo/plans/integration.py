@@ -264,8 +264,7 @@ def resolve_both(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Ta
     return out
 
 
-def build(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Tables:
-    base = resolve_both(silver, raw_crosswalk, ws)
+def outputs(silver: Tables, base: Tables) -> Tables:
     buyers, sellers = base["mapa_clientes"], base["mapa_vendedores"]
     out = {"geografia_integrada": geography(base["referencia"], base["centroides"])}
     for entity, (key, suffix) in ENTITIES.items():
@@ -275,3 +274,7 @@ def build(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Tables:
         silver["itens_pedido"], silver["pedidos"], sellers, buyers, base["centroides"])
     out["distancias_itens"] = item_distances(silver["itens_pedido"], silver["pedidos"], sellers, buyers)
     return out
+
+
+def build(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Tables:
+    return outputs(silver, resolve_both(silver, raw_crosswalk, ws))
