@@ -211,7 +211,7 @@ from (select geolocation_zip_code_prefix cep_prefixo, {_num('geolocation_lat', '
   {_num('geolocation_lng', 'double')} longitude, trim(geolocation_city) cidade, trim(geolocation_state) uf
   from fx_geolocalizacao)""",
     "s_moda": """
-select cep_prefixo mp, cidade, uf from s_pontos where not flag_coordenada_invalida group by all
+select cep_prefixo mp, cidade, uf from s_pontos where not flag_coordenada_invalida group by cep_prefixo, cidade, uf
 qualify row_number() over (partition by cep_prefixo order by count(*) desc, cidade, uf) = 1""",
     "s_cep": """
 select cep_prefixo, median(latitude) filter (not flag_coordenada_invalida) latitude_mediana,
