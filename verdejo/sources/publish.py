@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.checks import FAILED, outcome
 from .landing import exists
 
-POINTER = "_current"
+POINTER = "CURRENT"
 
 
 def write_table(df: DataFrame, path: str) -> int:
