@@ -68,8 +68,9 @@ def normal_form(c: str | Column) -> Column:
     """Name without accents, punctuation, capitals or double spaces; NULL gives ''."""
     text = F.lower(F.col(c) if isinstance(c, str) else c)
     single, dropped, several = _folds()
-    text = _fold_several(text, several)
-    text = F.translate(text, "".join(single) + "".join(dropped), "".join(single.values()))
+    folded = F.translate(_fold_several(text, several), "".join(single) + "".join(dropped), "".join(single.values()))
+    # Pure ASCII, where bytes and characters agree, has nothing to fold.
+    text = F.when(F.octet_length(text) == F.length(text), text).otherwise(folded)
     return F.coalesce(F.trim(F.regexp_replace(text, "[^a-z0-9]+", " ")), F.lit(""))
 
 

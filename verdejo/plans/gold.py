@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators.integrity import one_sided, orphans
 from ..operators.keys import dense_ids
-from ..session import Workspace
+from ..session import Workspace, together
 from .silver import DELIVERED, SIZE_MISSING
 
 Tables = dict[str, DataFrame]
@@ -125,11 +125,12 @@ def dim_payment(s: Tables, ws: Workspace) -> DataFrame:
 
 
 def build_dimensions(s: Tables, ws: Workspace) -> Tables:
-    return {
-        "dim_tempo": calendar(s["pedidos"]), "dim_cliente": dim_customer(s, ws),
-        "dim_produto": dim_product(s, ws), "dim_geografia": dim_geography(s, ws),
-        "dim_vendedor": dim_seller(s, ws), "dim_pagamento": dim_payment(s, ws),
+    builders = {
+        "dim_tempo": lambda: calendar(s["pedidos"]), "dim_cliente": lambda: dim_customer(s, ws),
+        "dim_produto": lambda: dim_product(s, ws), "dim_geografia": lambda: dim_geography(s, ws),
+        "dim_vendedor": lambda: dim_seller(s, ws), "dim_pagamento": lambda: dim_payment(s, ws),
     }
+    return dict(zip(builders, together(lambda d: ws.keep(d, builders[d]()), builders)))
 
 
 def _known(c: str) -> F.Column:
@@ -264,4 +265,4 @@ def require_references(s: Tables) -> None:
 def build(s: Tables, ws: Workspace) -> Tables:
     dims = build_dimensions(s, ws)
     orders = ws.keep("fato_pedido", fact_orders(order_context(s, dims), s["itens_pedido"]))
-    return {**dims, "fato_pedido": orders, "fato_item_pedido": fact_items(s, dims, orders)}
+    return {**dims, "fato_pedido": orders, "fato_item_pedido": ws.keep("fato_item_pedido", fact_items(s, dims, orders))}

@@ -256,12 +256,11 @@ def resolve_both(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Ta
     centers = centroids(exact)
     curated = crosswalk(raw_crosswalk, ref)
     if ws is not None:
-        ref, coords, centers = ws.keep("register", ref), ws.keep("coordinates", coords), ws.keep("centroids", centers)
+        kept = ws.keep_all({"register": ref, "coordinates": coords, "centroids": centers})
+        ref, coords, centers = kept["register"], kept["coordinates"], kept["centroids"]
     out = {"referencia": ref, "coordenadas": coords, "cep_exato": exact, "centroides": centers, "de_para": curated}
-    for entity, (key, _) in ENTITIES.items():
-        found = resolve(silver[entity], key, ref, curated, coords, centers)
-        out[f"mapa_{entity}"] = found if ws is None else ws.keep(f"map-{entity}", found)
-    return out
+    maps = {f"mapa_{entity}": resolve(silver[entity], key, ref, curated, coords, centers) for entity, (key, _) in ENTITIES.items()}
+    return {**out, **(maps if ws is None else ws.keep_all(maps))}
 
 
 def outputs(silver: Tables, base: Tables) -> Tables:

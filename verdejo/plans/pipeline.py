@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..operators.checks import FAILED
-from ..operators.contract import verify
-from ..session import Workspace
+from ..operators.contract import STAR_INPUTS, verify
+from ..session import Workspace, together
 from ..sources import landing, publish
 from . import gold, gold_quality, integration, quality, silver
 
@@ -25,7 +25,7 @@ def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | No
     problems = verify(tables)
     if problems:
         raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
-    pinned = {name: ws.keep(f"in-{name}", df) for name, df in tables.items()}
+    pinned = ws.keep_all(tables)
     gold.require_references(pinned)
     star = gold.build(pinned, ws)
     results = publish.publish(spark, root, star, check=lambda written: gold_quality.analyse(written, pinned))
@@ -50,6 +50,10 @@ def validate(spark: SparkSession, landed: Tables, crosswalk: DataFrame, tables:
     return results
 
 
+def _write_all(tables: Tables, root: str) -> None:
+    together(lambda name: publish.write_table(tables[name], f"{root}/{name}"), tables)
+
+
 def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path: str | None, root: str,
         until: str = "gold", now: datetime | None = None) -> dict:
     """Runs the stages up to ``until``; each one reads what the one before has written."""
@@ -59,8 +63,7 @@ def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
     summary = {"bronze": landing.land(spark, sources, f"{root}/bronze", ws, now)}
     landed = landing.landed_tables(spark, f"{root}/bronze", [s.table for s in sources])
     if last >= 1:
-        for name, df in silver.build(landed).items():
-            publish.write_table(df, f"{root}/silver/{name}")
+        _write_all(silver.build(landed), f"{root}/silver")
         clean = landing.landed_tables(spark, f"{root}/silver", quality.SILVER_GRAIN)
         summary["silver"] = {name: df.count() for name, df in clean.items()}
     if last >= 2:
@@ -71,8 +74,7 @@ def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
             if header.status == FAILED:
                 raise ValueError(f"de-para com colunas {header.encontrado}")
         places = integration.resolve_both(clean, curated, ws)
-        for name, df in integration.outputs(clean, places).items():
-            publish.write_table(df, f"{root}/silver/{name}")
+        _write_all(integration.outputs(clean, places), f"{root}/silver")
         publish.write_table(integration.unresolved(places["mapa_clientes"], places["mapa_vendedores"]),
                             f"{root}/silver/municipios_nao_resolvidos.csv")
         joined = {**clean, **landing.landed_tables(spark, f"{root}/silver", quality.INTEGRATION_GRAIN)}
@@ -84,7 +86,6 @@ def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
         results = validate(spark, landed, places["de_para"], joined, tags, f"{root}/silver")
         summary["validacao"] = C.outcome(results).first().asDict()
     if last >= 4:
-        from ..operators.contract import STAR_INPUTS
         results = load_star(spark, {t: joined[t] for t in STAR_INPUTS}, f"{root}/gold", ws)
         summary["gold"] = C.outcome(results).first().asDict()
     return summary

@@ -17,6 +17,7 @@ from ..functions.text import normal_form
 from ..operators.impute import MIN_SUPPORT, impute_medians
 from ..operators.picks import dominant, latest, most_frequent
 from ..operators.quantiles import group_quantiles, money_fence
+from ..session import together
 
 STAMP = "timestamp_ntz"
 DELIVERED = "delivered"
@@ -166,9 +167,11 @@ def municipalities(raw: Raw) -> DataFrame:
 
 def build(raw: Raw) -> dict[str, DataFrame]:
     points = geo_points(raw)
-    return {
-        "pedidos": orders(raw), "itens_pedido": order_items(raw), "pagamentos": payments(raw),
-        "avaliacoes": reviews(raw), "produtos": products(raw), "clientes": customers(raw),
-        "vendedores": sellers(raw), "geolocalizacao_pontos": points,
-        "geolocalizacao_cep": geo_prefixes(points), "municipios": municipalities(raw),
+    tables = {
+        "itens_pedido": lambda: order_items(raw), "pedidos": lambda: orders(raw), "pagamentos": lambda: payments(raw),
+        "avaliacoes": lambda: reviews(raw), "produtos": lambda: products(raw), "clientes": lambda: customers(raw),
+        "vendedores": lambda: sellers(raw), "geolocalizacao_pontos": lambda: points,
+        "geolocalizacao_cep": lambda: geo_prefixes(points), "municipios": lambda: municipalities(raw),
     }
+    # Three of them look at group sizes first, which is a job of its own.
+    return dict(zip(tables, together(lambda t: tables[t](), tables)))

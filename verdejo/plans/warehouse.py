@@ -22,7 +22,7 @@ class Warehouse:
 
     @cached_property
     def silver(self) -> Tables:
-        return {k: self.ws.keep(k, v) for k, v in silver.build(self.raw).items()}
+        return self.ws.keep_all(silver.build(self.raw))
 
     @cached_property
     def places(self) -> Tables:
@@ -31,8 +31,7 @@ class Warehouse:
 
     @cached_property
     def integrated(self) -> Tables:
-        built = integration.outputs(self.silver, self.places)
-        return {k: self.ws.keep(k, v) for k, v in built.items()}
+        return self.ws.keep_all(integration.outputs(self.silver, self.places))
 
     @property
     def contract(self) -> Tables:
@@ -40,8 +39,7 @@ class Warehouse:
 
     @cached_property
     def gold(self) -> Tables:
-        built = gold.build(self.contract, self.ws)
-        return {k: (v if k == "fato_pedido" else self.ws.keep(k, v)) for k, v in built.items()}
+        return gold.build(self.contract, self.ws)
 
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}

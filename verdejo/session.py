@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +48,16 @@ def shared_root(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+Item = TypeVar("Item")
+JOBS_AT_ONCE = 6
+
+
+def together(work: Callable[[Item], object], items: Iterable[Item]) -> list:
+    """Submit independent jobs from a few threads, so a small one does not wait for a large one."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(work, items))
+
+
 class Workspace:
     """Intermediate tables written once and read back.
 
@@ -61,3 +74,7 @@ class Workspace:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        names = list(tables)
+        return dict(zip(names, together(lambda n: self.keep(n, tables[n]), names)))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import FAILED, outcome
+from ..session import together
 from .landing import exists
 
 POINTER = "CURRENT"
@@ -62,8 +63,7 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
     """
     version = version or uuid.uuid4().hex
     home = f"{root}/version={version}"
-    for name, df in tables.items():
-        df.write.option("compression", "snappy").parquet(f"{home}/{name}")
+    together(lambda name: tables[name].write.option("compression", "snappy").parquet(f"{home}/{name}"), tables)
     results = None
     if check is not None:
         written = {name: spark.read.parquet(f"{home}/{name}") for name in tables}
