@@ -56,7 +56,8 @@ def _char_class(chars) -> str:
 
 def _fold_several(c: Column, several: dict[str, str]) -> Column:
     """Ligatures, fractions and enclosed letters; rare, so only on rows that have one."""
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    pairs = "\x01".join(f"{char}\x02{spelled}" for char, spelled in several.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
     marks = _char_class(several)
     spelled = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""

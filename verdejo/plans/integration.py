@@ -11,6 +11,7 @@ from ..functions.text import normal_form, tight_key
 from ..operators.integrity import orphans, repeated
 from ..operators.matching import RADIUS_KM, match_names, nearest_within, unique_keys
 from ..operators.quantiles import group_quantiles
+from ..session import together
 
 Tables = dict[str, DataFrame]
 
@@ -250,17 +251,15 @@ def city_coverage(prototype: DataFrame) -> DataFrame:
 
 def resolve_both(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Tables:
     """Reference tables and both entity maps. With a workspace the maps are written once for all later uses."""
-    ref = register(silver["municipios"])
-    coords = coordinates(silver["geolocalizacao_cep"])
-    exact = exact_prefixes(silver["geolocalizacao_cep"], ref)
-    centers = centroids(exact)
-    curated = crosswalk(raw_crosswalk, ref)
-    if ws is not None:
-        kept = ws.keep_all({"register": ref, "coordinates": coords, "centroids": centers})
-        ref, coords, centers = kept["register"], kept["coordinates"], kept["centroids"]
+    kept = (lambda tables: tables) if ws is None else ws.keep_all
+    first = kept({"referencia": register(silver["municipios"]), "coordenadas": coordinates(silver["geolocalizacao_cep"])})
+    ref, coords = first["referencia"], first["coordenadas"]
+    exact = kept({"cep_exato": exact_prefixes(silver["geolocalizacao_cep"], ref)})["cep_exato"]
+    centers, curated = together(lambda work: work(), (
+        lambda: kept({"centroides": centroids(exact)})["centroides"], lambda: crosswalk(raw_crosswalk, ref)))
     out = {"referencia": ref, "coordenadas": coords, "cep_exato": exact, "centroides": centers, "de_para": curated}
     maps = {f"mapa_{entity}": resolve(silver[entity], key, ref, curated, coords, centers) for entity, (key, _) in ENTITIES.items()}
-    return {**out, **(maps if ws is None else ws.keep_all(maps))}
+    return {**out, **kept(maps)}
 
 
 def outputs(silver: Tables, base: Tables) -> Tables:

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import Workspace
+from ..session import Workspace, tune
 from . import gold, integration, silver, testbed
 
 Tables = dict[str, DataFrame]
@@ -49,5 +49,6 @@ def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """One warehouse per session and folder; later queries read the tables it wrote."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _OPEN:
+        tune(spark)
         _OPEN[key] = Warehouse(spark, folder)
     return _OPEN[key]

@@ -18,8 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even when the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A join on (order, item) may reuse a layout that is already hashed by order.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A join on (order, item) is laid out by both, so one huge order stays spread.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
@@ -33,6 +33,13 @@ def build_session(app: str = "verdejo", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Turns on skew handling in a session that someone else has built."""
+    for key in SETTINGS:
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, SETTINGS[key])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.keys import file_record_numbers
 from ..operators.signature import signature
-from ..session import Workspace
+from ..session import Workspace, together
 
 HASHABLE_BYTES = (1 << 31) - 1  # a file above this does not fit one binary cell
 MANIFEST = T.StructType([
@@ -128,9 +128,16 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def with_lineage(df: DataFrame, tag: str, when: datetime, ws: Workspace) -> DataFrame:
-    """Adds source tag, file name, ingest time and the record number within the file."""
+    """Adds source tag, file name, ingest time and the record number within the file.
+
+    The scan must not split files. A single file is one partition, so its row
+    position is the number; several files are numbered over a written copy.
+    """
     named = df.withColumn("_arquivo_origem", F.col("_metadata.file_name"))
-    numbered = file_record_numbers(named, "_arquivo_origem", "_linha_origem", ws)
+    if len(df.inputFiles()) == 1:
+        numbered = named.withColumn("_linha_origem", F.monotonically_increasing_id() + 1)
+    else:
+        numbered = file_record_numbers(named, "_arquivo_origem", "_linha_origem", ws)
     return numbered.select(*df.columns, F.lit(tag).alias("_fonte"), "_arquivo_origem",
                            F.lit(when.isoformat()).cast("timestamp_ntz").alias("_data_ingestao"), "_linha_origem")
 
@@ -165,17 +172,16 @@ def load_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
 
 
-def _store_manifest(spark: SparkSession, root: str, entry: tuple) -> None:
-    # One row per source table, so a plain list is enough.
-    rows = [tuple(r) for r in load_manifest(spark, root).filter(F.col("tabela") != entry[0]).collect()]
-    fresh = spark.createDataFrame([*rows, entry], MANIFEST).coalesce(1)
-    fresh.write.mode("overwrite").parquet(f"{root}/_manifesto")
+def _store_manifest(spark: SparkSession, root: str, entries: dict[str, tuple]) -> None:
+    rows = spark.createDataFrame(list(entries.values()), MANIFEST)  # one row per source table
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifesto")
 
 
-def ingest_time(manifest: DataFrame, table: str, digest: str, output_exists: bool, now: datetime) -> tuple[datetime, bool]:
+def ingest_time(entry: tuple | None, digest: str, output_exists: bool, now: datetime) -> tuple[datetime, bool]:
     """Keeps the earlier time while the content is the same and its output is still there."""
-    old = manifest.filter((F.col("tabela") == table) & (F.col("sha256") == digest)).select("data_ingestao").first()
-    return (old[0], False) if old and output_exists else (now, True)
+    if entry and entry[3] == digest and output_exists:
+        return entry[4], False
+    return now, True
 
 
 def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspace, now: datetime | None = None,
@@ -184,22 +190,34 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
     picked = chosen(sources, tables)
     require(spark, picked)
     now = now or datetime.now().replace(microsecond=0)
-    done = []
-    for source in picked:
+    entries = {r[0]: tuple(r) for r in load_manifest(spark, root).collect()}
+    done: list[dict] = []
+
+    def one(source: Source) -> None:
         target = f"{root}/{source.table}"
         digest = fingerprint(spark, source)
-        when, changed = ingest_time(load_manifest(spark, root), source.table, digest, exists(spark, target), now)
+        when, changed = ingest_time(entries.get(source.table), digest, exists(spark, target), now)
         df = read_source(spark, source)
-        expected = df.count()
-        with_lineage(df, source.tag, when, ws).write.mode("overwrite").option("compression", "snappy").parquet(target)
+        landed = with_lineage(df, source.tag, when, ws)
+        # The source is counted on its own, beside the write that the count will be held against.
+        expected, _ = together(lambda job: job(), (
+            df.count, lambda: landed.write.mode("overwrite").option("compression", "snappy").parquet(target)))
         written = spark.read.parquet(target).count()
         if written != expected:
             raise CountMismatch(f"{source.table}: origem com {expected} registros e saida com {written}")
         name = source.path.rstrip("/").rsplit("/", 1)[-1]
-        _store_manifest(spark, root, (source.table, name, source.path, digest, when, written))
+        entries[source.table] = (source.table, name, source.path, digest, when, written)
         done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": written,
                      "colunas_dados": len(df.columns), "data_ingestao": when, "fonte_alterada": changed, "sha256": digest})
-    return done
+
+    try:
+        together(one, picked)
+    finally:
+        # Also after a failure, so that the manifest tells what is on disk.
+        if done:
+            _store_manifest(spark, root, entries)
+    order = [s.table for s in picked]
+    return sorted(done, key=lambda d: order.index(d["tabela"]))
 
 
 def landed_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
