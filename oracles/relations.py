@@ -138,7 +138,7 @@ from nation""",
     "fx_de_para": """
 select 'São ' || n_name cidade_origem, ' xx ' uf_origem, cast(1100000 + n_nationkey as varchar) cod_ibge,
   'uf divergente: ' || n_name justificativa
-from nation where n_nationkey % 2 = 0""",
+from nation where n_regionkey <> 2""",
     # cleaned
     "s_pedidos": f"""
 select *, status_pedido = 'delivered' and ts_entrega_cliente is null flag_entrega_ausente,

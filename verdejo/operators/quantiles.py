@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 RANKED_VALUES = 100_000
 _GRID = 200
 _ACCURACY = 20_000

@@ -88,9 +88,9 @@ def _responses(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         data = n.filter(keep).selectExpr("cast(1100000 + c_custkey as string) as D1C", "'2017' as D3C", f"{value} as V")
         return data.unionByName(spark.range(1).selectExpr("'Codigo' as D1C", "'Ano' as D3C", f"'{label}' as V"))
 
-    people = rows("c_custkey % 7 <> 3", "case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0' "
+    people = rows("c_mktsegment <> 'MACHINERY'", "case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0' "
                   "else cast(c_custkey * 37 as string) end", "Pessoas")
-    wealth = rows("c_custkey % 5 <> 2", "case c_custkey % 9 when 0 then 'X' when 1 then '' "
+    wealth = rows("c_acctbal >= 0", "case c_custkey % 9 when 0 then 'X' when 1 then '' "
                   "else cast(c_custkey * 911 + 5 as string) end", "Mil Reais")
     return people, wealth
 

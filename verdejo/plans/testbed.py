@@ -172,7 +172,7 @@ def indicators(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    return source(spark, folder, "nation").filter("n_nationkey % 2 = 0").selectExpr(
+    return source(spark, folder, "nation").filter("n_regionkey <> 2").selectExpr(
         "concat('São ', n_name) as cidade_origem", "' xx ' as uf_origem",
         "cast(1100000 + n_nationkey as string) as cod_ibge", "concat('uf divergente: ', n_name) as justificativa")
 

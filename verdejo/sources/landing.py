@@ -14,7 +14,7 @@ from ..operators.keys import file_record_numbers
 from ..operators.signature import signature
 from ..session import Workspace, together
 
-HASHABLE_BYTES = (1 << 31) - 1  # a file above this does not fit one binary cell
+HASHABLE_BYTES = 1 << 29  # a larger file should not pass through one cell
 MANIFEST = T.StructType([
     T.StructField("tabela", T.StringType()), T.StructField("arquivo_origem", T.StringType()),
     T.StructField("caminho_origem", T.StringType()), T.StructField("sha256", T.StringType()),
