@@ -308,7 +308,7 @@ from (select {_num('geolocation_lat', 'double')} latitude, {_num('geolocation_ln
     {_norm('geolocation_city')} cn, geolocation_state uf from fx_geolocalizacao)
 where latitude between -34 and 5.5 and longitude between -74 and -34 group by all""",
     "i_prototipo": """
-select estado, cidade_norm, lat_representativa, lng_representativa, qte_pontos, coalesce(a.cod_ibge, b.cod_ibge) cod_ibge,
+select estado, cidade_norm, lat_representativa, lng_representativa, qte_pontos, lpad(coalesce(a.cod_ibge, b.cod_ibge), 7, '0') cod_ibge,
   case when a.cod_ibge is not null then 'nome_identico' when b.cod_ibge is not null then 'sem_espacos' end variante_match,
   if(coalesce(a.cod_ibge, b.cod_ibge) is not null, 'exato', null) metodo_match
 from i_cidades left join i_ref a on a.uf = estado and a.municipio_normalizado = cidade_norm

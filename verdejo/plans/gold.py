@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -124,13 +125,16 @@ def dim_payment(s: Tables, ws: Workspace) -> DataFrame:
     return with_unknown(ids, "sk_pagamento", faixa_parcelas=S.NOT_INFORMED)
 
 
-def build_dimensions(s: Tables, ws: Workspace) -> Tables:
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def build_dimensions(s: Tables, ws: Workspace, keep: Keep) -> Tables:
     builders = {
         "dim_tempo": lambda: calendar(s["pedidos"]), "dim_cliente": lambda: dim_customer(s, ws),
         "dim_produto": lambda: dim_product(s, ws), "dim_geografia": lambda: dim_geography(s, ws),
         "dim_vendedor": lambda: dim_seller(s, ws), "dim_pagamento": lambda: dim_payment(s, ws),
     }
-    return dict(zip(builders, together(lambda d: ws.keep(d, builders[d]()), builders)))
+    return dict(zip(builders, together(lambda d: keep(d, builders[d]()), builders)))
 
 
 def _known(c: str) -> F.Column:
@@ -262,7 +266,9 @@ def require_references(s: Tables) -> None:
         raise ValueError("referencias inexistentes: " + "; ".join(f"{r.regra}: {r.encontrado}" for r in bad))
 
 
-def build(s: Tables, ws: Workspace) -> Tables:
-    dims = build_dimensions(s, ws)
-    orders = ws.keep("fato_pedido", fact_orders(order_context(s, dims), s["itens_pedido"]))
-    return {**dims, "fato_pedido": orders, "fato_item_pedido": ws.keep("fato_item_pedido", fact_items(s, dims, orders))}
+def build(s: Tables, ws: Workspace, keep: Keep | None = None) -> Tables:
+    """Writes every table once through ``keep``; facts read the dimensions as written."""
+    keep = keep or ws.keep
+    dims = build_dimensions(s, ws, keep)
+    orders = keep("fato_pedido", fact_orders(order_context(s, dims), s["itens_pedido"]))
+    return {**dims, "fato_pedido": orders, "fato_item_pedido": keep("fato_item_pedido", fact_items(s, dims, orders))}

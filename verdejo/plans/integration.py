@@ -232,7 +232,7 @@ def city_prototype(raw_points: DataFrame, ref: DataFrame, box: Box = PROTOTYPE_B
     return matched.select(
         F.col("uf").alias("estado"), F.col("cidade_normalizada").alias("cidade_norm"),
         "lat_representativa", "lng_representativa", "qte_pontos",
-        F.coalesce("cod_exato", "cod_chave").alias("cod_ibge"),
+        F.lpad(F.coalesce("cod_exato", "cod_chave"), 7, "0").alias("cod_ibge"),
         F.when(F.col("cod_exato").isNotNull(), "nome_identico")
         .when(F.col("cod_chave").isNotNull(), "sem_espacos").alias("variante_match"),
         F.when(F.coalesce("cod_exato", "cod_chave").isNotNull(), "exato").alias("metodo_match"))

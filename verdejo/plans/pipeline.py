@@ -21,18 +21,23 @@ STAGES = ("bronze", "silver", "integracao", "validacao", "gold")
 
 def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | None = None) -> DataFrame:
     """Contract, references, dimensions and facts, checks, then the switch to the new version."""
-    ws = ws or Workspace(spark)
+    if ws is None:
+        own = Workspace(spark)
+        try:
+            return load_star(spark, tables, root, own)
+        finally:
+            own.discard()
+    # A frame over files keeps the file list of its first reading, so all steps see the same input.
     problems = verify(tables)
     if problems:
         raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
-    pinned = ws.keep_all(tables)
-    gold.require_references(pinned)
-    star = gold.build(pinned, ws)
-    results = publish.publish(spark, root, star, check=lambda written: gold_quality.analyse(written, pinned))
+    gold.require_references(tables)
+    results = publish.publish(spark, root, lambda keep: gold.build(tables, ws, keep),
+                              check=lambda written: gold_quality.analyse(written, tables))
     done = publish.read_published(spark, root, gold.KEYS)
     publish.write_report(results, root, "Qualidade da Gold", {
         "contagens": gold_quality.counts(done), "uso_desconhecidos": gold_quality.unknown_use(done),
-        "match_municipal": gold_quality.match_coverage(pinned), "assinaturas": gold_quality.signatures(done)})
+        "match_municipal": gold_quality.match_coverage(tables), "assinaturas": gold_quality.signatures(done)})
     return results
 
 
@@ -59,7 +64,15 @@ def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
     """Runs the stages up to ``until``; each one reads what the one before has written."""
     if until not in STAGES:
         raise ValueError(f"etapa desconhecida: {until}")
-    last, ws = STAGES.index(until), Workspace(spark)
+    ws = Workspace(spark)
+    try:
+        return _run(spark, sources, crosswalk_path, root, STAGES.index(until), now, ws)
+    finally:
+        ws.discard()
+
+
+def _run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path: str | None, root: str, last: int,
+         now: datetime | None, ws: Workspace) -> dict:
     summary = {"bronze": landing.land(spark, sources, f"{root}/bronze", ws, now)}
     landed = landing.landed_tables(spark, f"{root}/bronze", [s.table for s in sources])
     if last >= 1:

@@ -82,6 +82,11 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def discard(self) -> None:
+        """Removes the intermediate tables of this workspace."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def keep_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         names = list(tables)
         return dict(zip(names, together(lambda n: self.keep(n, tables[n]), names)))

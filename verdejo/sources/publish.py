@@ -54,19 +54,28 @@ def read_published(spark: SparkSession, root: str, tables) -> dict[str, DataFram
     return {t: spark.read.parquet(f"{root}/version={version}/{t}") for t in tables}
 
 
-def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
+Keep = Callable[[str, DataFrame], DataFrame]
+Build = Callable[[Keep], Mapping[str, DataFrame]]
+
+
+def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame] | Build,
             check: Callable[[dict[str, DataFrame]], DataFrame] | None = None, version: str | None = None) -> DataFrame | None:
     """Writes a full new version aside, checks what was written, then moves the pointer.
 
-    Readers see the old version until the pointer moves; on any failure it never does.
-    Returns the check results.
+    ``tables`` are finished frames, or a builder that writes each table through the
+    function it is given, so that no table is written twice. Readers see the old version
+    until the pointer moves; on any failure it never does. Returns the check results.
     """
     version = version or uuid.uuid4().hex
     home = f"{root}/version={version}"
-    together(lambda name: tables[name].write.option("compression", "snappy").parquet(f"{home}/{name}"), tables)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.option("compression", "snappy").parquet(f"{home}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{home}/{name}")
+
+    written = dict(tables(keep)) if callable(tables) else dict(zip(tables, together(lambda n: keep(n, tables[n]), tables)))
     results = None
     if check is not None:
-        written = {name: spark.read.parquet(f"{home}/{name}") for name in tables}
         check(written).coalesce(1).write.json(f"{home}/_qualidade")
         results = spark.read.json(f"{home}/_qualidade")
         bad = [r[0] for r in results.filter(F.col("status") == FAILED).select("id").collect()]
