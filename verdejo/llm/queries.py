@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import tune
-from . import quality_rules
+from . import html_main, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_main.extracted(table(spark, folder, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     rows = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), Scratch(spark))
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules,)}
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return url_filter.judged(table(spark, folder, "pages"), Scratch(spark))
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return warc.captures(table(spark, folder, "pages"), Scratch(spark)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc)}
 ORACLES: dict[str, str] = {}
