@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import html_main, quality_rules, url_filter, warc
+from . import html_main, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_main.extracted(table(spark, folder, "pages"))
 
@@ -30,5 +35,10 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc)}
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return packing.packed(table(spark, folder, "documents"), word_tokenizer(), Scratch(spark))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing)}
 ORACLES: dict[str, str] = {}
