@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import html_main, packing, quality_rules, url_filter, warc
+from . import decontaminate, html_main, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
@@ -40,5 +40,10 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), word_tokenizer(), Scratch(spark))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing)}
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.judged(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key", "spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing,
+                                op9_benchmark_decontamination)}
 ORACLES: dict[str, str] = {}
