@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, html_main, packing, quality_rules, url_filter, warc
+from . import decontaminate, html_main, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
@@ -18,6 +18,11 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_main.extracted(table(spark, folder, "pages"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return ngram_join.grouped(table(spark, folder, "documents"), Scratch(spark))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     rows = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), Scratch(spark))
@@ -44,6 +49,6 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.judged(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing,
                                 op9_benchmark_decontamination)}
 ORACLES: dict[str, str] = {}
