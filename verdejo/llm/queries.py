@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import decontaminate, html_main, ngram_join, packing, quality_rules, url_filter, warc
+from . import debruijn, decontaminate, html_main, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
@@ -49,6 +49,11 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.judged(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key", "spans")
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return debruijn.removed(table(spark, folder, "documents"), Scratch(spark)).drop("kept")
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing,
-                                op9_benchmark_decontamination)}
+                                op9_benchmark_decontamination, op10_substring_dedup)}
 ORACLES: dict[str, str] = {}
