@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import debruijn, decontaminate, html_main, ngram_join, packing, quality_rules, url_filter, warc
+from . import debruijn, decontaminate, html_main, line_dedup, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
@@ -34,6 +34,11 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"), Scratch(spark))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return line_dedup.deduped(table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     return warc.captures(table(spark, folder, "pages"), Scratch(spark)).select(
@@ -54,6 +59,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.removed(table(spark, folder, "documents"), Scratch(spark)).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op6_warc, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op8_best_fit_packing,
                                 op9_benchmark_decontamination, op10_substring_dedup)}
 ORACLES: dict[str, str] = {}
