@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import debruijn, decontaminate, html_main, line_dedup, ngram_join, packing, quality_rules, url_filter, warc
+from . import debruijn, decontaminate, gru_lm, html_main, line_dedup, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 
 
@@ -45,6 +45,11 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return gru_lm.scored(table(spark, folder, "documents"), Scratch(spark))
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     return packing.packed(table(spark, folder, "documents"), word_tokenizer(), Scratch(spark))
@@ -59,6 +64,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.removed(table(spark, folder, "documents"), Scratch(spark)).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op7_lm_scoring, op8_best_fit_packing,
                                 op9_benchmark_decontamination, op10_substring_dedup)}
 ORACLES: dict[str, str] = {}
