@@ -14,6 +14,7 @@ ids are kept. Other columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,28 +36,29 @@ class Packing:
     end: int = 1           # id after each document
     groups: int = 1_500    # of large lengths
     large: float = 1 / 4   # of the capacity; shorter pieces are small
-    cache_words: int = 300_000  # tokenised words that a worker remembers
+    cache_words: int = 350_000  # tokenised words that a worker remembers
 
 
 #: A letter before ASCII punctuation ends a word for the tokenizer; a blank put there changes no id.
 LETTER = np.array([97 <= b <= 122 for b in range(256)])
 PUNCTUATION = np.array([33 <= b <= 47 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 126 for b in range(256)])
-PLAIN = re.compile(rb"[a-z]+")
+#: Words of small Latin letters: each is one unit of the tokenizer, and no normal form changes it.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: The tokenizer's letters for bytes: printable Latin-1 for itself, the other bytes in order from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: chr(b) if b in _PRINTED else chr(256 + sum(x not in _PRINTED for x in range(b))) for b in range(256)}
 
 
 class Encoder:
     """Ids of texts. Words between ASCII blanks are encoded on their own, since the tokenizer drops blanks before it splits,
-    and are remembered in two generations, so memory stays bounded. Case is folded first, as the tokenizer does; texts that may
-    hold the name of a special token are left as they are."""
+    and are remembered in two generations, so memory stays bounded. Case of Latin letters is folded first, as the tokenizer does; texts
+    that may hold the name of a special token are left as they are."""
 
     def __init__(self, path: str, remember: int):
         from tokenizers import Tokenizer
         self.tokenizer, self.most = Tokenizer.from_file(path), remember
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -74,9 +76,14 @@ class Encoder:
 
     def _spaced(self, texts: list[bytes]) -> list[bytes]:
         """Small letters, and a blank after each word that ASCII punctuation follows."""
-        data = np.frombuffer(b"".join(texts).lower(), dtype=np.uint8)
+        data = np.frombuffer(bytearray(b"".join(texts).lower()), dtype=np.uint8)
+        latin = np.flatnonzero(data[:-1] == 0xC3) + 1  # second bytes of accented letters, and of two signs
+        latin = latin[(data[latin] != 0x97) & (data[latin] != 0xB7)]
+        data[latin[(data[latin] >= 0x80) & (data[latin] <= 0x9E)]] += 0x20
+        letter = LETTER[data]
+        letter[latin] = True
         wide = np.ones(len(data), dtype=np.uint8)
-        wide[:-1] += LETTER[data[:-1]] & PUNCTUATION[data[1:]]
+        wide[:-1] += letter[:-1] & PUNCTUATION[data[1:]]
         ends = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
         after = np.flatnonzero(wide == 2)
         moved = (ends + np.searchsorted(after, ends)).tolist()
@@ -93,29 +100,33 @@ class Encoder:
                 fresh.append(word)
             else:
                 self.new[word] = known
-        plain = [w for w in fresh if PLAIN.fullmatch(w)]
-        for at in range(0, len(plain), 4096):
-            self._learn_plain(plain[at:at + 4096])
-        rest = [w for w in fresh if w not in self.new]
+        one, rest = self.tokenizer.model.tokenize, []
+        for word in fresh:
+            if PLAIN.fullmatch(word):
+                ids = [t.id for t in one(word.decode("latin-1").translate(BYTE_LETTERS))]
+                self.new[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(word)
         for at in range(0, len(rest), 4096):
             part = rest[at:at + 4096]
             for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
                 self.new[word] = np.array(e.ids, dtype="<u4").tobytes()
 
-    def _learn_plain(self, words: list[bytes]) -> None:
-        """Words of letters only are one unit of the tokenizer each, and their last ids are marked as word ends."""
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, dtype="<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(words) and stops[-1] == len(ids):
-            raw, starts = ids.tobytes(), [0, *(4 * stops[:-1]).tolist()]
-            for word, a, b in zip(words, starts, (4 * stops).tolist()):
-                self.new[word] = raw[a:b]
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, remember: int) -> Encoder:
+    """One for each worker process: later tasks find the words that earlier ones have met."""
+    if (path, remember) not in _ENCODERS:
+        _ENCODERS[path, remember] = Encoder(path, remember)
+    return _ENCODERS[path, remember]
 
 
 def pieces(docs: DataFrame, tokenizer: str, how: Packing = Packing()) -> DataFrame:
     """One row for each piece; ``part`` and ``nth`` number the pieces of one length within a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encode, part = Encoder(tokenizer, how.cache_words), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, how.cache_words), TaskContext.get().partitionId()
         seen = np.zeros(how.capacity + 1, dtype=np.int64)
         end = np.array([how.end], dtype="<u4").tobytes()
         for batch in batches:
