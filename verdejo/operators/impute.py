@@ -13,14 +13,14 @@ MIN_SUPPORT = 5  # fixed value: observations needed before a median is trusted
 
 
 def impute_medians(df: DataFrame, group: str, columns: Sequence[str],
-                   min_support: int = MIN_SUPPORT, **kw) -> DataFrame:
+                   min_support: int = MIN_SUPPORT) -> DataFrame:
     """Replaces gaps in ``columns`` and adds ``_filled_<column>`` flags.
 
     The flag says that the value was missing and the group median was trusted.
     """
     trusted = group_quantiles(
         df, [group], {f"_med_{c}": (c, 0.5) for c in columns},
-        also={f"_n_{c}": F.count(c) for c in columns}, **kw
+        also={f"_n_{c}": F.count(c) for c in columns}
     ).select(
         F.col(group).alias("_group"),
         *[F.when(F.col(f"_n_{c}") >= min_support, F.col(f"_med_{c}")).alias(f"_use_{c}") for c in columns])

@@ -1,10 +1,10 @@
-"""Exact, linearly interpolated quantiles per group.
+"""Exact, linearly interpolated quantiles per group, by one road for groups of every size.
 
-Ordinary groups use Spark's own exact ``percentile``. Its state grows with the
-distinct values of a group, so a group above ``HOT_ROWS`` takes another road:
-approximate quantiles bracket the wanted rank, the bracket is narrowed pass by
-pass, and only the few values left inside it are ranked. Every pass is a
-partial aggregate, so no task ever holds a hot group.
+Values are counted, then the counts are summed over slices of the value axis: a slice holds values
+whose logarithms agree to 1/4096 of an octave, so their number is bounded whatever the data. Running
+sums over a group's slices tell which slices hold the wanted ranks; the values of those slices alone
+are ranked. Every step is a partial aggregate or a window over a bounded set; nothing runs while the
+plan is built, and nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -15,143 +15,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HOT_ROWS = 1_000_000
-RANKED_VALUES = 100_000
-_GRID = 200
-_ACCURACY = 20_000
+_PER_OCTAVE = 4096
+_OCTAVES = 1100  # doubles reach down to 2**-1074
 
 Spec = Mapping[str, tuple[str, float]]
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], spec: Spec, also: Mapping[str, Column] | None = None,
-                    hot_rows: int = HOT_ROWS, ranked_values: int = RANKED_VALUES) -> DataFrame:
-    """``spec``: output name -> (numeric column, probability). NULL values are left out.
+def _slice(v: Column) -> Column:
+    """A whole number that never falls when the value rises."""
+    octave = F.when(F.isnan(v), 2 * _OCTAVES).otherwise(F.least(F.log2(F.abs(v)), F.lit(float(_OCTAVES))))
+    size = F.floor(octave * _PER_OCTAVE) + _PER_OCTAVE * _OCTAVES
+    return F.when(v == 0, F.lit(0)).when(v < 0, -size).otherwise(size)
 
-    ``also`` holds further aggregates to compute beside the quantiles.
-    """
-    keys, also = list(keys), dict(also or {})
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= hot_rows:
-        return _direct(df, keys, spec, also)
-
-    # At most total/hot_rows groups can be hot, so their keys are safe to broadcast.
-    hot = sizes.filter(F.col("_n") > hot_rows).drop("_n")
-    if not keys:
-        return _narrowed(df.withColumn("_all", F.lit(1)), ["_all"], spec, also, ranked_values).drop("_all")
-    match = _same(keys, "l", "r")
-    cold_rows = df.alias("l").join(F.broadcast(hot.alias("r")), match, "left_anti")
-    hot_rows_df = df.alias("l").join(F.broadcast(hot.alias("r")), match, "left_semi")
-    return _direct(cold_rows, keys, spec, also).unionByName(
-        _narrowed(hot_rows_df, keys, spec, also, ranked_values))
-
-
-def _direct(df: DataFrame, keys: list[str], spec: Spec, also: dict[str, Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        *[F.percentile(F.col(c), F.lit(p)).alias(name) for name, (c, p) in spec.items()],
-        *[c.alias(name) for name, c in also.items()])
-
-
-def _narrowed(df: DataFrame, keys: list[str], spec: Spec, also: dict[str, Column],
-              ranked_values: int) -> DataFrame:
-    extras = [c.alias(name) for name, c in also.items()] or [F.lit(None).alias("_none")]
-    out = df.groupBy(*keys).agg(*extras).drop("_none")
-    for name, (column, prob) in spec.items():
-        found = _select_rank(df.select(*keys, F.col(column).cast("double").alias("_v"))
-                             .filter(F.col("_v").isNotNull()), keys, prob, ranked_values)
-        found = found.withColumnRenamed("_q", name)
-        renamed = found.select(*[F.col(k).alias(f"_r_{k}") for k in keys], name)
-        cond = None
-        for k in keys:
-            part = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-            cond = part if cond is None else cond & part
-        out = out.join(F.broadcast(renamed), cond, "left").drop(*[f"_r_{k}" for k in keys])
-    return out
-
-
-def _select_rank(rows: DataFrame, keys: list[str], prob: float, ranked_values: int) -> DataFrame:
-    spark = rows.sparkSession
-    first = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    brackets = first.withColumn("_below", F.lit(0).cast("bigint"))
-    schema = brackets.schema
-    state = brackets.collect()  # one row per hot group
-    while True:
-        table = F.broadcast(spark.createDataFrame(state, schema))
-        inside = _inside(rows, table, keys)
-        probe = inside.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_m"),
-            F.approx_count_distinct("_v").alias("_d"),
-            F.percentile_approx("_v", [i / _GRID for i in range(_GRID + 1)], _ACCURACY).alias("_g"))
-        seen = {tuple(r[k] for k in keys): r for r in probe.collect()}
-        if all(seen[tuple(r[k] for k in keys)]["_d"] <= ranked_values for r in state):
-            break
-        moved = []
-        for r in state:
-            key = tuple(r[k] for k in keys)
-            p = seen[key]
-            low_rank = int((r["_n"] - 1) * prob) - r["_below"]
-            spot = low_rank / p["_m"] * _GRID
-            left, right = max(int(spot) - 1, 0), min(int(spot) + 3, _GRID)
-            lo = p["_g"][left] if left > 0 else r["_lo"]
-            hi = p["_g"][right] if right < _GRID else r["_hi"]
-            moved.append((key, r, lo, hi))
-        if all(lo == r["_lo"] and hi == r["_hi"] for _, r, lo, hi in moved):
-            break
-        nxt = spark.createDataFrame([(*k, r["_n"], lo, hi, r["_below"]) for k, r, lo, hi in moved], schema)
-        counted = (_join(inside, F.broadcast(nxt), keys).groupBy(*keys)
-                   .agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_cut"),
-                        F.count_if(F.col("_v") <= F.col("_hi")).alias("_upto")))
-        cut = {tuple(r[k] for k in keys): r for r in counted.collect()}
-        fresh = []
-        for key, r, lo, hi in moved:
-            base, upto = r["_below"] + cut[key]["_cut"], r["_below"] + cut[key]["_upto"]
-            rank = (r["_n"] - 1) * prob
-            # A bracket that would lose a wanted rank is not taken.
-            keep = base <= int(rank) and upto > -int(-rank // 1)
-            fresh.append((*key, r["_n"], lo, hi, base) if keep
-                         else (*key, r["_n"], r["_lo"], r["_hi"], r["_below"]))
-        if fresh == [tuple(r) for r in state]:
-            break
-        state = spark.createDataFrame(fresh, schema).collect()
-
-    table = F.broadcast(spark.createDataFrame(state, schema))
-    ties = _inside(rows, table, keys).groupBy(*keys, "_v", "_n", "_below").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ties.withColumn("_to", F.col("_below") + F.sum("_c").over(upto))
-    pos = (F.col("_n") - 1) * F.lit(float(prob))
-    return ranked.groupBy(*keys).agg(
-        F.min(F.when(F.col("_to") > F.floor(pos), F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_to") > F.ceil(pos), F.col("_v"))).alias("_b"),
-        F.first(pos - F.floor(pos)).alias("_w"),
-    ).select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_w")).alias("_q"))
-
-
-def _same(keys: Sequence[str], left: str, right: str):
+
+def _same(keys: Sequence[str], other: Mapping[str, str]) -> Column:
     cond = F.lit(True)
     for k in keys:
-        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+        cond = cond & F.col(k).eqNullSafe(F.col(other[k]))
     return cond
 
 
-def _join(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    extra = ["_n", "_lo", "_hi", "_below"]
-    kept = [c for c in rows.columns if c not in extra]
-    return rows.alias("l").join(table.alias("r"), _same(keys, "l", "r")).select(
-        *[f"l.{c}" for c in kept], *[f"r.{c}" for c in extra])
-
-
-def _inside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    return _join(rows, table, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-
+def group_quantiles(df: DataFrame, keys: Sequence[str], spec: Spec, also: Mapping[str, Column] | None = None) -> DataFrame:
+    """``spec``: output name -> (numeric column, probability). NULL values are left out.
 
-def money_fence(df: DataFrame, column: str, reach: float = 1.5, **kw) -> tuple[DataFrame, DataFrame]:
+    ``also`` holds further aggregates to compute beside the quantiles.
+    """
+    keys, also = list(keys), dict(also or {})
+    columns = list(dict.fromkeys(c for c, _ in spec.values()))
+    cells = F.array(*(F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)))
+    values = (df.select(*keys, F.explode(cells).alias("_x")).select(*keys, "_x._i", "_x._v").filter(F.col("_v").isNotNull())
+              .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", _slice(F.col("_v"))))
+
+    group = [*keys, "_i"]
+    whole = Window.partitionBy(*group)
+    running = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = values.groupBy(*group, "_s").agg(F.sum("_c").alias("_n")).select(
+        *group, "_s", (F.sum("_n").over(running) - F.col("_n")).alias("_before"), F.sum("_n").over(running).alias("_upto"),
+        F.sum("_n").over(whole).alias("_total"))
+    wanted = F.array(*(F.struct(F.lit(q).alias("_q"), F.lit(columns.index(c)).alias("_of"), F.lit(float(p)).alias("_p"))
+                       for q, (c, p) in enumerate(spec.values())))
+    ranks = slices.withColumn("_w", F.explode(wanted)).filter("_w._of = _i").withColumn("_pos", (F.col("_total") - 1) * F.col("_w._p"))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    ranks = ranks.filter(((F.col("_before") <= low) & (low < F.col("_upto"))) | ((F.col("_before") <= high) & (high < F.col("_upto"))))
+    names = {k: f"_k{i}" for i, k in enumerate([*group, "_s"])}
+    ranks = ranks.select(*(F.col(k).alias(n) for k, n in names.items()), "_before", "_pos", F.col("_w._q").alias("_q"))
+
+    inside = Window.partitionBy(*group, "_q", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.join(ranks, _same([*group, "_s"], names)).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
+    found = ranked.groupBy(*keys, "_q").agg(
+        F.min(F.when(F.col("_to") > low, F.col("_v"))).alias("_a"), F.min(F.when(F.col("_to") > high, F.col("_v"))).alias("_b"),
+        F.first("_pos").alias("_pos"))
+    value = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise((high - F.col("_pos")) * F.col("_a") + (F.col("_pos") - low) * F.col("_b"))
+    found = found.withColumn("_value", value).groupBy(*keys).agg(
+        *(F.max(F.when(F.col("_q") == q, F.col("_value"))).alias(name) for q, name in enumerate(spec)))
+
+    # groups without any value, and the other aggregates
+    own = {k: f"_g{i}" for i, k in enumerate(keys)}
+    groups = df.groupBy(*keys).agg(*(c.alias(name) for name, c in also.items()), F.count(F.lit(1)).alias("_rows"))
+    right = found.select(*(F.col(k).alias(n) for k, n in own.items()), *spec)
+    return groups.join(right, _same(keys, own), "left").select(*keys, *spec, *also)
+
+
+def money_fence(df: DataFrame, column: str, reach: float = 1.5) -> tuple[DataFrame, DataFrame]:
     """Quartiles of a decimal(18,2) amount, cut to whole cents, and the upper Tukey fence.
 
     Returns (one-row quartiles, rows with the fence joined on).
     """
     cents = df.select((F.col(column) * 100).cast("bigint").alias("_cents"))
-    q = group_quantiles(cents, [], {"_a": ("_cents", 0.25), "_b": ("_cents", 0.75)}, **kw)
+    q = group_quantiles(cents, [], {"_a": ("_cents", 0.25), "_b": ("_cents", 0.75)})
 
     def whole(c: str):
         return (F.floor(F.round(F.col(c), 6)).cast("decimal(18,0)") / F.lit(100)).cast("decimal(18,2)")
