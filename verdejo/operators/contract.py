@@ -9,63 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "text": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
-    "bool": T.BooleanType(), "stamp": T.TimestampNTZType(), "money": T.DecimalType(18, 2),
-}
-
 
 @dataclass(frozen=True)
 class Contract:
-    """``columns``: kind -> names; a trailing ! forbids NULL."""
+    """The columns that a table must have, as Spark DDL, and the columns that its rows are unique by (none: no key)."""
 
     grain: tuple[str, ...]
-    columns: Mapping[str, str]
+    ddl: str
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType([
-            T.StructField(name.rstrip("!"), _TYPES[kind], not name.endswith("!"))
-            for kind, names in self.columns.items() for name in names.split()])
-
-
-def _map_contract(key: str, suffix: str) -> Contract:
-    return Contract((key,), {
-        "text": f"{key}! cod_ibge metodo_match! cidade_original cidade_normalizada uf motivo_nao_resolvido",
-        "double": f"distancia_match_km latitude_{suffix} longitude_{suffix}"})
-
-
-# The eleven tables the star schema is loaded from.
-STAR_INPUTS: dict[str, Contract] = {
-    "pedidos": Contract(("order_id",), {
-        "text": "order_id! customer_id! status_pedido! ano_mes_compra",
-        "stamp": "ts_compra ts_aprovacao ts_envio_transportadora ts_entrega_cliente ts_estimativa_entrega",
-        "long": "dias_ate_entrega dias_atraso", "bool": "flag_entrega_ausente! flag_atraso"}),
-    "itens_pedido": Contract(("order_id", "item_pedido_id"), {
-        "text": "order_id! product_id seller_id faixa_preco", "int": "item_pedido_id!", "stamp": "ts_limite_envio",
-        "money": "preco_produto valor_frete valor_total_item", "bool": "flag_frete_outlier"}),
-    "produtos": Contract(("product_id",), {
-        "text": "product_id! categoria_produto! categoria_produto_ingles!",
-        "double": "peso_g comprimento_cm altura_cm largura_cm",
-        "bool": "flag_categoria_sem_traducao! flag_peso_imputado! flag_dimensoes_imputadas!"}),
-    "clientes": Contract(("customer_id",), {"text": "customer_id! customer_unique_id! cep_prefixo cidade uf"}),
-    "vendedores": Contract(("seller_id",), {"text": "seller_id! cep_prefixo cidade uf"}),
-    "pagamentos": Contract(("order_id",), {
-        "text": "order_id! tipo_pagamento_predominante", "int": "parcelas_tipo_predominante",
-        "long": "qtd_transacoes! qtd_metodos_distintos!", "money": "valor_total_pago"}),
-    "avaliacoes": Contract(("order_id",), {
-        "text": "order_id! review_id! titulo_review mensagem_review", "int": "nota_review",
-        "stamp": "ts_criacao_review ts_resposta_review", "bool": "flag_avaliacao_duplicada_pedido!"}),
-    "geografia_integrada": Contract(("cod_ibge",), {
-        "text": "cod_ibge! municipio! municipio_normalizado! uf! nome_uf regiao porte_municipio!",
-        "long": "populacao_estimada", "int": "ano_referencia_indicadores", "money": "pib_per_capita",
-        "double": "latitude_representativa longitude_representativa"}),
-    "distancias_itens": Contract(("order_id", "order_item_id"), {
-        "text": "order_id! motivo_distancia_ausente", "int": "order_item_id!", "double": "distancia_km",
-        "bool": "flag_distancia_calculada!"}),
-    "clientes_municipios": _map_contract("customer_id", "cliente"),
-    "vendedores_municipios": _map_contract("seller_id", "vendedor"),
-}
+        return T.StructType.fromDDL(self.ddl)
 
 
 def shape_problems(df: DataFrame, contract: Contract, table: str) -> list[str]:
@@ -83,7 +37,7 @@ def content_problems(df: DataFrame, contract: Contract, table: str) -> DataFrame
     pairs = F.array(*[F.struct(F.lit(f"{table}.{c}: nulos proibidos").alias("problema"), F.col(c).alias("encontrado"))
                       for c in must]) if must else F.array(F.struct(F.lit(table).alias("problema"), F.lit(0).cast("bigint").alias("encontrado")))
     out = nulls.select(F.inline(pairs))
-    if all(c in df.columns for c in contract.grain):
+    if contract.grain and all(c in df.columns for c in contract.grain):
         twice = df.groupBy(*contract.grain).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").agg(
             F.count(F.lit(1)).alias("encontrado"))
         out = out.unionByName(twice.select(F.lit(f"{table}: chaves duplicadas no grao ({', '.join(contract.grain)})")
@@ -91,8 +45,8 @@ def content_problems(df: DataFrame, contract: Contract, table: str) -> DataFrame
     return out
 
 
-def verify(tables: Mapping[str, DataFrame | None], contracts: Mapping[str, Contract] = STAR_INPUTS) -> list[str]:
-    """All problems as text. Only counts reach the driver."""
+def verify(tables: Mapping[str, DataFrame | None], contracts: Mapping[str, Contract]) -> list[str]:
+    """All problems as text; a row of counts for each table reaches the driver."""
     problems, content = [], None
     for name, contract in contracts.items():
         df = tables.get(name)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..operators.checks import FAILED
-from ..operators.contract import STAR_INPUTS, verify
+from ..operators.contract import verify
 from ..session import Workspace, together
 from ..sources import landing, publish
 from . import gold, gold_quality, integration, quality, silver
+from .schemas import STAR_INPUTS
 
 Tables = dict[str, DataFrame]
 STAGES = ("bronze", "silver", "integracao", "validacao", "gold")
@@ -28,7 +29,7 @@ def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | No
         finally:
             own.discard()
     # A frame over files keeps the file list of its first reading, so all steps see the same input.
-    problems = verify(tables)
+    problems = verify(tables, STAR_INPUTS)
     if problems:
         raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
     gold.require_references(tables)
