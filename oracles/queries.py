@@ -90,10 +90,10 @@ def _signature(name: str) -> str:
 
 _ABSENT = "('', '-', '..', '...', 'X', 'x')"
 CONSOLIDATED = f"""
-with a as (select 1100000 + c_custkey k, trim(case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0'
-    else cast(c_custkey * 37 as varchar) end) v from customer where c_mktsegment <> 'MACHINERY'),
-b as (select 1100000 + c_custkey k, trim(case c_custkey % 9 when 0 then 'X' when 1 then ''
-    else cast(c_custkey * 911 + 5 as varchar) end) v from customer where c_acctbal >= 0),
+with a as (select cast(1100000 + c_custkey as bigint) + if(c_mktsegment = 'MACHINERY', 1000000000, 0) k, trim(case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0'
+    else cast(c_custkey * 37 as varchar) end) v from customer),
+b as (select cast(1100000 + c_custkey as bigint) + if(c_acctbal < 0, 2000000000, 0) k, trim(case c_custkey % 9 when 0 then 'X' when 1 then ''
+    else cast(c_custkey * 911 + 5 as varchar) end) v from customer),
 j as (select coalesce(a.k, b.k) k, if(a.v in {_ABSENT}, null, cast(if(a.v in {_ABSENT}, null, a.v) as bigint)) p,
     if(b.v in {_ABSENT}, null, cast(if(b.v in {_ABSENT}, null, b.v) as bigint)) g from a full join b on a.k = b.k)
 select cast(k as varchar) cod_ibge, cast(2017 as integer) ano_referencia, p populacao_estimada,

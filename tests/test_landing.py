@@ -117,6 +117,9 @@ def test_indicator_responses(spark, tmp_path):
         response([row("1", "2", "2018")], "y.json")
     with pytest.raises(ValueError, match="duplicado"):
         response([row("1", "2"), row("1", "2")], "d.json")
+    for code in ("12x", None, ""):
+        with pytest.raises(ValueError, match="codigo invalido"):
+            response([row("1", "2"), row(code, "2")], f"c{code}.json")
     with pytest.raises(ValueError, match="sem dados"):
         response([], "e.json")
 

@@ -81,16 +81,16 @@ def _texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _responses(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Two statistical responses with a label record, absence markers and codes missing on either side."""
+    """Two statistical responses of all customers with a label record, absence markers and codes that only one side has."""
     n = testbed.source(spark, folder, "customer")
 
-    def rows(keep: str, value: str, label: str) -> DataFrame:
-        data = n.filter(keep).selectExpr("cast(1100000 + c_custkey as string) as D1C", "'2017' as D3C", f"{value} as V")
-        return data.unionByName(spark.range(1).selectExpr("'Codigo' as D1C", "'Ano' as D3C", f"'{label}' as V"))
+    def rows(alone: str, apart: int, value: str, label: str) -> DataFrame:
+        data = n.selectExpr(f"cast(if({alone}, {apart}, 0) + 1100000 + c_custkey as string) as D1C", "'2017' as D3C", f"{value} as V")
+        return data.unionByName(spark.range(1).selectExpr(f"'{indicators.LABEL}' as D1C", "'Ano' as D3C", f"'{label}' as V"))
 
-    people = rows("c_mktsegment <> 'MACHINERY'", "case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0' "
+    people = rows("c_mktsegment = 'MACHINERY'", 10**9, "case c_custkey % 10 when 0 then '...' when 1 then ' - ' when 2 then '0' "
                   "else cast(c_custkey * 37 as string) end", "Pessoas")
-    wealth = rows("c_acctbal >= 0", "case c_custkey % 9 when 0 then 'X' when 1 then '' "
+    wealth = rows("c_acctbal < 0", 2 * 10**9, "case c_custkey % 9 when 0 then 'X' when 1 then '' "
                   "else cast(c_custkey * 911 + 5 as string) end", "Mil Reais")
     return people, wealth
 

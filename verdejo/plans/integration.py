@@ -88,10 +88,13 @@ def resolve(entities: DataFrame, key: str, ref: DataFrame, curated: DataFrame, c
     pair = curated.select(F.col("uf").alias("_cu"), F.col("cidade_normalizada").alias("_cc"),
                           F.col("cod_ibge").alias("_curated"))
     named = _named(base, ref)
-    named = named.withColumn("_open", F.when(F.coalesce("cod_exato", "cod_chave").isNull(), F.col("cidade_normalizada")))
-    known = named.join(pair, (F.col("uf") == F.col("_cu")) & (F.col("_open") == F.col("_cc")), "left").drop("_cu", "_cc", "_open")
-    settled = F.coalesce("cod_exato", "cod_chave", "_curated")
-    known = known.withColumn("_settled", settled)
+    # Each pass meets only the rows that the passes before have left open.
+    matched = F.coalesce("cod_exato", "cod_chave")
+    curated_type = dict(curated.dtypes)["cod_ibge"]
+    asked = (named.filter(matched.isNull()).join(pair, (F.col("uf") == F.col("_cu")) & (F.col("cidade_normalizada") == F.col("_cc")), "left")
+             .drop("_cu", "_cc"))
+    known = named.filter(matched.isNotNull()).withColumn("_curated", F.lit(None).cast(curated_type)).unionByName(asked)
+    known = known.withColumn("_settled", F.coalesce("cod_exato", "cod_chave", "_curated"))
 
     spots = coords.select(F.col("cep_prefixo").alias("_p"), "latitude", "longitude")
     pending = known.filter("_settled is null").select("cep_prefixo", "uf").distinct()
@@ -101,10 +104,11 @@ def resolve(entities: DataFrame, key: str, ref: DataFrame, curated: DataFrame, c
     near = nearest_within(probes, targets, block="uf", code="_near", radius_km=radius_km).select(
         F.col("cep_prefixo").alias("_np"), F.col("uf").alias("_nu"), "_near", "distancia_km")
 
-    probe = F.when(F.col("_settled").isNull(), F.col("cep_prefixo"))
-    placed = (known.join(spots, F.col("cep_prefixo") == F.col("_p"), "left").drop("_p")
-              .withColumn("_probe", probe)
-              .join(near, (F.col("_probe") == F.col("_np")) & (F.col("uf") == F.col("_nu")), "left"))
+    spotted = known.join(spots, F.col("cep_prefixo") == F.col("_p"), "left").drop("_p")
+    far = (spotted.filter("_settled is null").join(near, (F.col("cep_prefixo") == F.col("_np")) & (F.col("uf") == F.col("_nu")), "left")
+           .drop("_np", "_nu"))
+    near_types = dict(near.dtypes)
+    placed = spotted.filter("_settled is not null").withColumns({c: F.lit(None).cast(near_types[c]) for c in ("_near", "distancia_km")}).unionByName(far)
     code = F.coalesce("_settled", "_near")
     return placed.select(
         "id_entidade", "cep_prefixo", "cidade_original", "cidade_normalizada", "uf", code.alias("cod_ibge"),

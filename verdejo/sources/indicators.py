@@ -11,6 +11,7 @@ from ..operators.integrity import repeated
 # Reference year and the markers that mean "no value".
 YEAR = 2017
 ABSENT = ("", "-", "..", "...", "X", "x")
+LABEL = "Município (Código)"  # what the label record has in place of a code
 
 
 def read_response(spark: SparkSession, path: str, year: int = YEAR) -> DataFrame:
@@ -20,9 +21,12 @@ def read_response(spark: SparkSession, path: str, year: int = YEAR) -> DataFrame
 
 
 def values(rows: DataFrame, year: int = YEAR) -> DataFrame:
-    """(codigo, valor) without the label record. Another year or a repeated code stops the job."""
+    """(codigo, valor) without the label record. Another year, a code that is none, or a repeated one stops the job."""
     coded = F.col("D1C").rlike("^[0-9]+$")
-    data = rows.filter(coded)
+    data = rows.filter(~F.col("D1C").eqNullSafe(F.lit(LABEL)))
+    malformed = data.filter(~F.coalesce(coded, F.lit(False))).limit(1).collect()
+    if malformed:
+        raise ValueError(f"codigo invalido {malformed[0].D1C}")
     strange = data.filter(~F.col("D3C").eqNullSafe(F.lit(str(year)))).limit(1).collect()
     if strange:
         raise ValueError(f"ano inesperado {strange[0].D3C} em {strange[0].D1C}")
