@@ -59,7 +59,7 @@ def test_numbers_restart_in_every_file(spark, tmp_path):
     folder.mkdir()
     for i in range(5):
         (folder / f"f{i}.csv").write_text("a\n" + "\n".join(f"{i}-{j}" for j in range(i + 2)) + "\n")
-    df = landing.with_lineage(landing.read_text_csv(spark, str(folder)), "loja", NOW, Workspace(spark))
+    df = landing.with_lineage(landing.read_text_csv(spark, str(folder)), "loja", NOW)
     for r in df.collect():
         i, j = r.a.split("-")
         assert r._linha_origem == int(j) + 1 and r._arquivo_origem == f"f{i}.csv"
@@ -135,3 +135,50 @@ def test_sinks_and_pointer(spark, tmp_path):
     publish.publish(spark, root, {"t": df})
     publish.publish(spark, root, {"t": df.filter("k = 'a'")})
     assert publish.read_published(spark, root, ["t"])["t"].count() == 1
+
+
+def test_numbers_with_equal_base_names_and_split_files(spark, tmp_path):
+    for d in ("x=1", "x=2"):
+        (tmp_path / "t" / d).mkdir(parents=True)
+        (tmp_path / "t" / d / "part.csv").write_text("a\n" + "\n".join(f"{d}-{j:05d}" for j in range(3000)) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        scan = landing.read_text_csv(spark, str(tmp_path / "t"), multi_line=False)
+        assert scan.rdd.getNumPartitions() > 4
+        rows = landing.with_lineage(scan, "loja", NOW).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.a, r._linha_origem) for r in rows) == [(f"{d}-{j:05d}", j + 1) for d in ("x=1", "x=2") for j in range(3000)]
+
+
+def test_fingerprint_sees_order_names_and_line_ends_at_any_layout(spark, tmp_path):
+    def of(text, name="f.csv"):
+        path = tmp_path / name
+        path.write_bytes(text.encode())
+        return landing.fingerprint(spark, landing.Source("t", str(path), "loja", ""))
+    text = "a\n" + "\n".join(map(str, range(500)))
+    base = of(text)
+    assert of(text) == base
+    changed = [of(text.replace("17\n18", "18\n17")), of(text + "\n"), of(text.replace("\n", "\r\n")), of(text, "g.csv"), of(text + "0")]
+    assert len({base, *changed}) == 6
+    of(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        assert of(text) == base
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_failed_landing_keeps_the_earlier_table(spark, tmp_path, monkeypatch):
+    path = tmp_path / "orders.csv"
+    path.write_text("a,b\n1,2\n")
+    source, root, ws = landing.Source("pedidos", str(path), "loja", ""), str(tmp_path / "bronze"), Workspace(spark)
+    landing.land(spark, [source], root, ws, NOW)
+    path.write_text("a,b\n1,2\n3,4\n")
+    real = landing.with_lineage
+    monkeypatch.setattr(landing, "with_lineage", lambda *a: real(*a).limit(1))
+    with pytest.raises(landing.CountMismatch):
+        landing.land(spark, [source], root, ws, NOW)
+    assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 1

@@ -28,12 +28,20 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str, ws: Workspace, sta
         (F.col("_shift") + F.col("_row") + start).cast("int").alias(name), *df.columns)
 
 
-def file_record_numbers(df: DataFrame, file_column: str, name: str, ws: Workspace) -> DataFrame:
-    """1..N per source file, in file order, for a scan that never splits a file."""
-    placed = ws.keep("records", df.withColumn("_id", F.monotonically_increasing_id()))
-    first = placed.groupBy(file_column).agg(F.min("_id").alias("_first"))  # one row per file
-    return placed.join(first, file_column).select(
-        *df.columns, (F.col("_id") - F.col("_first") + 1).alias(name))
+def file_record_numbers(scan: DataFrame, name: str) -> DataFrame:
+    """1..N per file in file order, for a scan of any layout: many files, equal base names, split files.
+
+    A record's number is its place in its block of the file, after the records of the blocks before. The
+    scan runs twice: once to count the records of each block, once for the rows. Both deal out the same
+    blocks to the same partitions, since that depends on the files and the settings alone. Adds ``_path``.
+    """
+    rows = scan.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                       F.monotonically_increasing_id().alias("_id"))
+    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).select(
+        "_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each block
+    return rows.join(blocks, ["_path", "_start"]).select(
+        *scan.columns, "_path", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias(name))
 
 
 def _shift(placed: DataFrame, part: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -14,7 +15,6 @@ from ..operators.keys import file_record_numbers
 from ..operators.signature import signature
 from ..session import Workspace, together
 
-HASHABLE_BYTES = 1 << 29  # a larger file should not pass through one cell
 MANIFEST = T.StructType([
     T.StructField("tabela", T.StringType()), T.StructField("arquivo_origem", T.StringType()),
     T.StructField("caminho_origem", T.StringType()), T.StructField("sha256", T.StringType()),
@@ -67,6 +67,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Puts a finished folder in the place of an earlier one."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(paths(target), True)
+    if not files.rename(paths(new), paths(target)):
+        raise OSError(f"cannot move {new} to {target}")
+
+
 def chosen(sources: Sequence[Source], tables: Iterable[str] | None) -> list[Source]:
     if tables is None:
         return list(sources)
@@ -127,19 +141,11 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
     return read_register(spark, source.path) if source.format == "json" else read_text_csv(spark, source.path)
 
 
-def with_lineage(df: DataFrame, tag: str, when: datetime, ws: Workspace) -> DataFrame:
-    """Adds source tag, file name, ingest time and the record number within the file.
-
-    The scan must not split files. A single file is one partition, so its row
-    position is the number; several files are numbered over a written copy.
-    """
-    named = df.withColumn("_arquivo_origem", F.col("_metadata.file_name"))
-    if len(df.inputFiles()) == 1:
-        numbered = named.withColumn("_linha_origem", F.monotonically_increasing_id() + 1)
-    else:
-        numbered = file_record_numbers(named, "_arquivo_origem", "_linha_origem", ws)
-    return numbered.select(*df.columns, F.lit(tag).alias("_fonte"), "_arquivo_origem",
-                           F.lit(when.isoformat()).cast("timestamp_ntz").alias("_data_ingestao"), "_linha_origem")
+def with_lineage(df: DataFrame, tag: str, when: datetime) -> DataFrame:
+    """Adds source tag, file name, ingest time and the record number within the file."""
+    named = file_record_numbers(df.select("*", F.col("_metadata")), "_linha_origem")
+    return named.select(*df.columns, F.lit(tag).alias("_fonte"), F.col("_metadata.file_name").alias("_arquivo_origem"),
+                        F.lit(when.isoformat()).cast("timestamp_ntz").alias("_data_ingestao"), "_linha_origem")
 
 
 def land_parquet(spark: SparkSession, path: str, tag: str, when: datetime) -> DataFrame:
@@ -152,19 +158,18 @@ def land_parquet(spark: SparkSession, path: str, tag: str, when: datetime) -> Da
 
 
 def fingerprint(spark: SparkSession, source: Source) -> str:
-    """SHA-256 of the file; of all file hashes for a folder; of the row signature for oversized files."""
-    files = spark.read.format("binaryFile").load(source.path)
-    largest = files.agg(F.max("length")).first()[0] or 0
-    if largest > HASHABLE_BYTES:
-        row = signature(spark.read.text(source.path), source.table).select(
-            F.sha2(F.concat_ws("|", "linhas", "soma", "xor"), 256)).first()
-        return row[0]
-    hashes = files.select(F.col("path"), F.sha2("content", 256).alias("h"))
-    few = hashes.orderBy("path").limit(2).collect()
-    if len(few) == 1:
-        return few[0].h
-    total = signature(hashes.select("h"), source.table)
-    return total.select(F.sha2(F.concat_ws("|", "linhas", "soma", "xor"), 256)).first()[0]
+    """One rule for a file or a folder of any size: it changes with every byte, with the order of lines and with file names.
+
+    Each line is hashed with its number and its file; the hashes are summed and xored, and hashed with
+    the names and sizes of all files. Nothing but counters and one row per file comes together.
+    """
+    lines = file_record_numbers(spark.read.option("lineSep", "\n").text(source.path).select("*", F.col("_metadata")), "_line")
+    total = signature(lines.select(F.col("_metadata.file_name").alias("name"), "_line", "value"), source.table)
+    files = spark.read.format("binaryFile").load(source.path).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").cast("string").alias("length"))
+    shape = signature(files, source.table)
+    row = total.union(shape).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws("|", "linhas", "soma", "xor", "esquema"))), "/"), 256)).first()
+    return row[0]
 
 
 def load_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -198,13 +203,17 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
         digest = fingerprint(spark, source)
         when, changed = ingest_time(entries.get(source.table), digest, exists(spark, target), now)
         df = read_source(spark, source)
-        landed = with_lineage(df, source.tag, when, ws)
+        landed = with_lineage(df, source.tag, when)
+        # Written aside; the earlier table stays until the new one has been counted.
+        aside = f"{root}/_preparo/{source.table}-{uuid.uuid4().hex}"
         # The source is counted on its own, beside the write that the count will be held against.
         expected, _ = together(lambda job: job(), (
-            df.count, lambda: landed.write.mode("overwrite").option("compression", "snappy").parquet(target)))
-        written = spark.read.parquet(target).count()
+            df.count, lambda: landed.write.option("compression", "snappy").parquet(aside)))
+        written = spark.read.parquet(aside).count()
         if written != expected:
+            remove(spark, aside)
             raise CountMismatch(f"{source.table}: origem com {expected} registros e saida com {written}")
+        replace_folder(spark, aside, target)
         name = source.path.rstrip("/").rsplit("/", 1)[-1]
         entries[source.table] = (source.table, name, source.path, digest, when, written)
         done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": written,
