@@ -2,8 +2,10 @@
 
 1. Every whole text becomes a set of n-gram hashes; equal sets are one class from here on.
 2. Hash space is cut into more ranges than two similar sets can differ in elements, so similar sets
-   agree on a whole range. Sets that share the digest of a range form families. Popular n-grams
-   alone bring nothing together, since a range mixes n-grams from all over a text.
+   agree on a whole range. Sets that share the digest of a range form families. A passage that many
+   texts share can fill a range alone and glue them together; so large families are cut again by
+   fresh ranges, under another hash, as long as that makes them smaller. Similar sets agree on a
+   range under every hash and are never parted.
 3. In each family the ordered sets, rarest n-gram first, are stored in a prefix tree. A probe walks
    the tree once for all sets that share a beginning, carrying the overlap so far, and leaves a
    subtree when the elements left on either side cannot reach the threshold. Pairs already joined
@@ -40,6 +42,7 @@ class Similarity:
     n: int = 4
     percent: int = 85
     block: int = 2_000
+    large: int = 1_000   # families of more sets are cut again
 
     def need(self, a: int, b: int) -> int:
         """The least intersection of linked sets of sizes a and b."""
@@ -50,9 +53,9 @@ class Similarity:
         return a + b - 2 * self.need(a, b)
 
 
-def gram_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+def gram_sets(words: Words, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-gram hashes of each text, one text after the other, and the bounds of the texts."""
-    hashes = words.hashes()
+    hashes = words.hashes() if not seed else mix(words.hashes() ^ np.uint64(seed * 0x2545F4914F6CDD1D & (1 << 64) - 1))
     all_windows = windows(hashes, n)
     parts, sizes = [], []
     for a, b in zip(words.first.tolist(), words.first[1:].tolist()):
@@ -133,18 +136,20 @@ def measured(docs: DataFrame, how: Similarity) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, d1 long, d2 long, ranges binary")
 
 
-def families(classes: DataFrame, ws: Scratch) -> DataFrame:
-    """(node, root) of the sets that share the digest of a range, over any number of steps."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                packed = [x or b"" for x in part.column(1).to_pylist()]
-                yield {"digest": np.frombuffer(b"".join(packed), dtype=np.int64),
-                       "node": np.repeat(part.column(0).to_numpy(), [len(x) // 8 for x in packed])}
+def meetings(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all nodes with a digest in common; rows: digest, node.
 
+    A task reads its digests in order, joins each node with the first one of its digest, and hands out
+    one edge for each node that is joined with others, so the edge table is short and flat.
+    """
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         last = None  # digest and first node of the group that a batch may go on with
+        parent: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while (up := parent.setdefault(i, i)) != i:
+                parent[i] = i = parent[up]
+            return i
         for batch in batches:
             digest, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             opens = np.ones(len(digest), dtype=bool)
@@ -154,11 +159,51 @@ def families(classes: DataFrame, ws: Scratch) -> DataFrame:
             if last is not None and last[0] == digest[0]:
                 lead[:first[1] if len(first) > 1 else len(node)] = last[1]
             last = (digest[-1], lead[-1])
-            pairs = np.unique(np.stack((lead, node))[:, lead != node], axis=1)
-            yield {"a": pairs[0], "b": pairs[1]}
-    rows = map_batches(classes.select("node", "ranges"), unpack, "digest long, node long")
+            for a, b in np.unique(np.stack((lead, node))[:, lead != node], axis=1).T.tolist():
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+        nodes = list(parent)
+        for at in range(0, len(nodes), 50_000):
+            part = [(find(i), i) for i in nodes[at:at + 50_000]]
+            yield {"a": [a for a, b in part if a != b], "b": [b for a, b in part if a != b]}
     dealt = rows.repartition("digest").sortWithinPartitions("digest", "node")
-    return links.components(map_batches(dealt, meet, "a long, b long"), ws, "families")
+    return map_batches(dealt, meet, "a long, b long")
+
+
+def families(classes: DataFrame, ws: Scratch) -> DataFrame:
+    """(node, root) of the sets that share the digest of a range, over any number of steps."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                packed = [x or b"" for x in part.column(1).to_pylist()]
+                yield {"digest": np.frombuffer(b"".join(packed), dtype=np.int64),
+                       "node": np.repeat(part.column(0).to_numpy(), [len(x) // 8 for x in packed])}
+    return links.components(meetings(map_batches(classes.select("node", "ranges"), unpack, "digest long, node long")), ws, "families")
+
+
+def refined(members: DataFrame, texts: DataFrame, ws: Scratch, how: Similarity) -> DataFrame:
+    """Families after large ones have been cut by ranges under other hashes; who has no partner left drops out."""
+    def fresh(seed: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            for batch in batches:
+                for a, b, data, offsets in columns(batch, "text"):
+                    values, bounds = gram_sets(Words(data, offsets, IN_WORD, lower=True), how.n, seed)
+                    of, digests = range_digests(values, bounds, how)
+                    yield {"digest": signed(digests), "node": batch.column(0).slice(a, b - a).to_numpy()[of], "root": batch.column(1).slice(a, b - a).to_numpy()[of]}
+        return run
+    before, turn = None, 0
+    while True:
+        size = members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > how.large).select("root")
+        large = ws.keep(f"large-{turn}", members.join(size, "root", "left_semi").select("node", "root"))
+        count = large.count()
+        if not count or before is not None and count > 0.9 * before:
+            return members
+        before, turn = count, turn + 1
+        rows = map_batches(texts.join(large, "node").select("node", "root", "text"), fresh(turn), "digest long, node long, root long")
+        cut = links.components(meetings(rows.select(F.xxhash64("digest", "root").alias("digest"), "node")), ws, f"cut-{turn}")
+        small = members.join(large.select("node"), "node", "left_anti").select("node", "root")
+        members = ws.keep(f"members-{turn}", small.union(cut.select("node", "root")))
 
 
 @dataclass
@@ -197,10 +242,14 @@ class Tree:
 
 
 class Joined:
-    """Which sets are joined already; keeps the links that joined them."""
+    """Which sets are joined already."""
 
     def __init__(self, n: int):
-        self.parent, self.links = list(range(n)), []
+        self.parent = list(range(n))
+
+    def links(self) -> list[tuple[int, int]]:
+        """One from the first set of each group to each other one."""
+        return [(self.find(i), i) for i in range(len(self.parent)) if self.find(i) != i]
 
     def find(self, i: int) -> int:
         while self.parent[i] != i:
@@ -211,7 +260,6 @@ class Joined:
         a, b = self.find(i), self.find(j)
         if a != b:
             self.parent[max(a, b)] = min(a, b)
-            self.links.append((i, j))
 
 
 def probe(tree: Tree, ranks: list[int], name: int, joined: Joined, how: Similarity) -> None:
@@ -251,7 +299,7 @@ def tree_links(sets: list[np.ndarray], how: Similarity, first: int = 0) -> list[
             probe(tree, own, i, joined, how)
         if not first or i < first:
             tree.insert(own, i)
-    return joined.links
+    return joined.links()
 
 
 def family_links(texts: DataFrame, how: Similarity) -> DataFrame:
@@ -295,7 +343,17 @@ def grouped(docs: DataFrame, ws: Scratch, how: Similarity = Similarity()) -> Dat
     classes = ws.keep("classes", rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")).where("node is not null"))
     first = rows.join(classes, ["d1", "d2"]).where("doc_id = node").select("node", "ranges")
     members = ws.keep("members", families(first, ws))
-    texts = docs.join(cells(members, how), F.col("doc_id") == F.col("node"))
+    texts = ws.keep("texts", docs.join(members, F.col("doc_id") == F.col("node")).select("node", "text"))
+    members = refined(members, texts, ws, how)
+    texts = texts.join(cells(members, how), "node")
     roots = links.components(ws.keep("links", family_links(texts, how)), ws, "joined")
     return (rows.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left").join(roots, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("root", "node", "doc_id").alias("component_id")))
+
+
+def representatives(docs: DataFrame, ws: Scratch, how: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that lead their component; rows with empty sets, and without any
+    id in reach, stay. Of rows that repeat a leading id and text, all stay."""
+    found = grouped(docs, ws, how).where("component_id is not null and not (component_id <=> doc_id)").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = ws.keep("gone", found)
+    return docs.join(gone.where("_gone is not null"), F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
