@@ -73,7 +73,11 @@ LABELLED = (
     (24, 0.00, 48, 0.00, 36, 0.00, 0, 0, 1), (9, 0.00, 3, 1.00, 70, 0.00, 0, 0, 1), (7, 0.00, 65, 0.00, 58, 0.02, 0, 0, 1),
     (14, 0.00, 50, 0.00, 33, 0.00, 0, 0, 1), (40, 0.00, 2, 1.00, 4, 0.80, 0, 0, 1), (20, 0.00, 44, 0.00, 5, 1.00, 0, 0, 1),
     (3, 0.00, 30, 0.00, 42, 0.00, 0, 0, 1), (28, 0.20, 35, 0.00, 26, 0.10, 0, 0, 1), (110, 0.15, 9, 0.00, 12, 0.00, 0, 0, 1),
+    (60, 0.00, 70, 0.00, 2, 1.00, 0, 0, 1), (48, 0.00, 55, 0.00, 3, 0.00, 0, 0, 1), (30, 0.10, 40, 0.00, 1, 1.00, 0, 0, 1),
+    (100, 0.00, 5, 1.00, 2, 1.00, 0, 0, 1), (85, 0.00, 90, 0.00, 0, 0.00, 0, 0, 1), (22, 0.00, 64, 0.00, 1, 1.00, 0, 0, 1),
     # plain layouts: menus, link lists, captions, footers
+    (2, 1.00, 2, 1.00, 80, 0.00, 0, 0, 0), (1, 1.00, 3, 1.00, 45, 0.00, 0, 0, 0), (4, 0.75, 2, 1.00, 120, 0.00, 0, 0, 0),
+    (3, 1.00, 70, 0.00, 50, 0.00, 0, 0, 0), (12, 0.80, 1, 1.00, 66, 0.00, 0, 0, 0), (5, 1.00, 0, 0.00, 90, 0.05, 0, 0, 0),
     (1, 1.00, 1, 1.00, 1, 1.00, 0, 0, 0), (3, 1.00, 2, 1.00, 4, 1.00, 0, 0, 0), (6, 0.80, 5, 1.00, 7, 0.90, 0, 0, 0),
     (4, 0.00, 2, 1.00, 3, 1.00, 0, 0, 0), (10, 0.60, 12, 0.50, 6, 0.70, 0, 0, 0), (25, 0.70, 20, 0.60, 30, 0.80, 0, 0, 0),
     (5, 0.00, 4, 0.00, 3, 0.00, 0, 0, 0), (8, 0.30, 6, 0.00, 0, 0.00, 0, 0, 0), (2, 0.00, 0, 0.00, 1, 1.00, 0, 0, 0),
@@ -239,7 +243,6 @@ def blocks(page: str) -> list[Block]:
             if tag not in DROPPED:
                 out.text(page[at:end.start() if end else len(page)])
             at = skip_to = end.end() if end else len(page)
-            out.flush() if tag not in INLINE else None
         else:
             out.open(tag, m[3] or m[6] or "")
     out.text(page[at:])
