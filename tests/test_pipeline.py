@@ -1,5 +1,6 @@
 """All stages from files to the published star, twice."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -39,6 +40,19 @@ def test_run_twice(spark, files, tmp_path):
     second = pipeline.run(spark, sources, crosswalk, root, now=datetime(2026, 2, 1))
     assert [b["fonte_alterada"] for b in second["bronze"]] == [False] * len(sources)
     assert gold_quality.signatures(publish.read_published(spark, root + "/gold", gold.KEYS)).collect() == before
+    report = {r.id: r.status for r in spark.read.json(f"{root}/silver/_validacao").collect()}
+    assert all(report[i] == "APROVADO" for i in ("BRZ-EST-001", "BRZ-CNT-001", "BRZ-CNT-002", "BRZ-CNT-003", "BRZ-CNT-004", "REP-003"))
+    # a source that changes after its landing is found by recount and fingerprint
+    landed = landing.landed_tables(spark, f"{root}/bronze", [s.table for s in sources])
+    part = next(f for f in os.listdir(sources[0].path) if f.endswith(".csv"))
+    with open(f"{sources[0].path}/{part}") as f:
+        lines = f.readlines()
+    changed = tmp_path / "changed"
+    changed.mkdir()
+    (changed / part).write_text("".join(lines[:-1]))
+    moved = [landing.Source(sources[0].table, str(changed), "loja", "teste"), *sources[1:]]
+    report = {r.id: r.status for r in pipeline.source_checks(spark, moved, landed, f"{root}/bronze").collect()}
+    assert report["BRZ-CNT-001"] == "APROVADO" and report["BRZ-CNT-002"] == report["BRZ-CNT-003"] == "REPROVADO"
 
 
 def test_unknown_stage(spark, files):

@@ -42,9 +42,22 @@ def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | No
     return results
 
 
-def validate(spark: SparkSession, landed: Tables, crosswalk: DataFrame, tables: Tables, tags: Sequence[str], root: str) -> DataFrame:
-    """Writes the report first and only then fails."""
+def source_checks(spark: SparkSession, sources: Sequence[landing.Source], landed: Tables, root: str) -> DataFrame:
+    """Every source landed; counts against the manifest and a recount; fresh fingerprints against the manifest."""
+    there = [s for s in sources if landing.exists(spark, s.path)]
+    prints = spark.createDataFrame(list(zip([s.table for s in there], together(lambda s: landing.fingerprint(spark, s), there))),
+                                   "tabela string, sha256 string")  # a row for each source
+    return C.union([
+        quality.presence(spark, "BRZ-EST-001", "Estrutura", "Toda origem tem tabela gravada", [s.table for s in sources], landed),
+        quality.landed_against_source(landed, {s.table: landing.read_source(spark, s) for s in there},
+                                      landing.load_manifest(spark, root), prints)])
+
+
+def validate(spark: SparkSession, landed: Tables, crosswalk: DataFrame, tables: Tables, tags: Sequence[str], root: str,
+             more: Sequence[DataFrame] = ()) -> DataFrame:
+    """Writes the report first and only then fails. ``more``: results of further checks."""
     results = C.union([
+        *more,
         quality.landed_shape(spark, landed), quality.landed_content(landed, tags), quality.cleaned(landed, tables),
         quality.integrated(crosswalk, tables), quality.contract(spark, tables)])
     results.coalesce(1).write.mode("overwrite").json(f"{root}/_validacao")
@@ -80,11 +93,13 @@ def _run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
         _write_all(silver.build(landed), f"{root}/silver")
         clean = landing.landed_tables(spark, f"{root}/silver", quality.SILVER_GRAIN)
         summary["silver"] = {name: df.count() for name, df in clean.items()}
+    more = []
     if last >= 2:
         curated = None
         if crosswalk_path and landing.exists(spark, crosswalk_path):
             curated = landing.read_text_csv(spark, crosswalk_path)
-            header = quality.crosswalk_header(spark, curated.columns).first()
+            more.append(quality.crosswalk_header(spark, curated.columns))
+            header = more[-1].first()
             if header.status == FAILED:
                 raise ValueError(f"de-para com colunas {header.encontrado}")
         places = integration.resolve_both(clean, curated, ws)
@@ -97,7 +112,8 @@ def _run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
                                  integration.coverage(places[f"mapa_{e}"], e).collect()]
     if last >= 3:
         tags = sorted({s.tag for s in sources})
-        results = validate(spark, landed, places["de_para"], joined, tags, f"{root}/silver")
+        more.append(source_checks(spark, sources, landed, f"{root}/bronze"))
+        results = validate(spark, landed, places["de_para"], joined, tags, f"{root}/silver", more)
         summary["validacao"] = C.outcome(results).first().asDict()
     if last >= 4:
         results = load_star(spark, {t: joined[t] for t in STAR_INPUTS}, f"{root}/gold", ws)
