@@ -2,10 +2,11 @@
 
 1. Every whole text becomes a set of n-gram hashes; equal sets are one class from here on.
 2. Hash space is cut into more ranges than two similar sets can differ in elements, so similar sets
-   agree on a whole range. Sets that share the digest of a range form families. A passage that many
-   texts share can fill a range alone and glue them together; so large families are cut again by
-   fresh ranges, under another hash, as long as that makes them smaller. Similar sets agree on a
-   range under every hash and are never parted.
+   agree on a whole range. A passage that many texts share can fill a range alone; so sets that share
+   the digest of a range join a family only if their parity sketches allow it: each element flips one
+   of 512 bits, so similar sets differ in no more bits than elements. Families that are large all the
+   same are cut again by fresh ranges, under another hash, as long as that makes them smaller.
+   Similar sets pass all these tests and are never parted.
 3. In each family the ordered sets, rarest n-gram first, are stored in a prefix tree. A probe walks
    the tree once for all sets that share a beginning, carrying the overlap so far, and leaves a
    subtree when the elements left on either side cannot reach the threshold. Pairs already joined
@@ -115,8 +116,16 @@ def range_digests(values: np.ndarray, bounds: np.ndarray, how: Similarity) -> tu
     return np.concatenate(texts), np.concatenate(digests)
 
 
+def sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """512 parity bits of each set, as rows of 64 bytes: |difference of two sets| is at least the number of bits that differ."""
+    n = len(bounds) - 1
+    of = np.repeat(np.arange(n), np.diff(bounds))
+    flips = np.bincount(of * 512 + (values & np.uint64(511)).astype(np.int64), minlength=512 * n)
+    return np.packbits((flips & 1).astype(np.uint8)).reshape(n, 64)
+
+
 def measured(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set, and the digests of its ranges (packed 64-bit numbers)."""
+    """doc_id, n_shingles, a 128-bit digest of the set, its sketch, and the digests of its ranges (packed 64-bit numbers)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for a, b, data, offsets in columns(batch, "text"):
@@ -131,47 +140,116 @@ def measured(docs: DataFrame, how: Similarity) -> DataFrame:
                 digests = digests[np.argsort(texts, kind="stable")]
                 cuts = np.concatenate(([0], np.cumsum(np.bincount(texts, minlength=b - a)))).tolist()
                 yield {"doc_id": batch.column(0).slice(a, b - a), "n_shingles": size, "d1": signed(total(mix(padded))),
-                       "d2": signed(total(mix(padded ^ np.uint64(0x9E3779B97F4A7C15)))),
+                       "d2": signed(total(mix(padded ^ np.uint64(0x9E3779B97F4A7C15)))), "sketch": [x.tobytes() for x in sketches(values, bounds)],
                        "ranges": [digests[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]}
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, d1 long, d2 long, ranges binary")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary, ranges binary")
 
 
-def meetings(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect all nodes with a digest in common; rows: digest, node.
-
-    A task reads its digests in order, joins each node with the first one of its digest, and hands out
-    one edge for each node that is joined with others, so the edge table is short and flat.
-    """
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        last = None  # digest and first node of the group that a batch may go on with
-        parent: dict[int, int] = {}
-
-        def find(i: int) -> int:
-            while (up := parent.setdefault(i, i)) != i:
-                parent[i] = i = parent[up]
-            return i
+def shared_digests(rows: DataFrame) -> DataFrame:
+    """The rows (digest, node) whose digest another node has too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held = None  # the last row, which the next batch decides on, and whether the one before it has its digest
         for batch in batches:
-            digest, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            opens = np.ones(len(digest), dtype=bool)
-            opens[1:] = digest[1:] != digest[:-1]
-            first = np.flatnonzero(opens)
-            lead = np.repeat(node[first], np.diff(np.append(first, len(node))))
-            if last is not None and last[0] == digest[0]:
-                lead[:first[1] if len(first) > 1 else len(node)] = last[1]
-            last = (digest[-1], lead[-1])
-            for a, b in np.unique(np.stack((lead, node))[:, lead != node], axis=1).T.tolist():
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
-        nodes = list(parent)
+            digest, node = (batch.column(i).to_numpy() for i in (0, 1))
+            pair = False
+            if held is not None:
+                digest, node, pair = np.append(held[0], digest), np.append(held[1], node), held[2]
+            fresh = np.concatenate(([True], (digest[1:] != digest[:-1]) | (node[1:] != node[:-1])))  # rows that repeat count once
+            digest, node = digest[fresh], node[fresh]
+            same = digest[1:] == digest[:-1]
+            alike = np.append(same, False) | np.concatenate(([pair], same))
+            held = (digest[-1:], node[-1:], bool(alike[-1]))
+            yield {"digest": digest[:-1][alike[:-1]], "node": node[:-1][alike[:-1]]}
+        if held is not None and held[2]:
+            yield {"digest": held[0], "node": held[1]}
+    return map_batches(rows.repartition("digest").sortWithinPartitions("digest", "node"), run, "digest long, node long")
+
+
+class Meeting:
+    """Joins nodes that may be similar; rows come in order of digests."""
+
+    def __init__(self, how: Similarity, most: int = 50_000):
+        self.how, self.most, self.parent = how, most, {}
+
+    def find(self, i: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(i, i)) != i:
+            parent[i] = i = parent[up]
+        return i
+
+    def join(self, pairs) -> None:
+        for a, b in pairs:
+            x, y = self.find(a), self.find(b)
+            self.parent[max(x, y)] = min(x, y)
+
+    def allowed(self, n: np.ndarray, bits: np.ndarray, m: np.ndarray, others: np.ndarray) -> np.ndarray:
+        p = self.how.percent
+        most = n + m - 2 * -(-p * (n + m) // (100 + p))
+        return (np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64) <= most) & (100 * np.minimum(n, m) >= p * np.maximum(n, m))
+
+    def groups(self, digest: np.ndarray, node: np.ndarray, n: np.ndarray, bits: np.ndarray) -> None:
+        first = np.flatnonzero(np.concatenate(([True], digest[1:] != digest[:-1])))
+        counts = np.diff(np.append(first, len(digest)))
+        lead = np.repeat(first, counts)
+        good = self.allowed(n, bits, n[lead], bits[lead])
+        pairs = np.unique(np.stack((node[lead], node))[:, good & (node != node[lead])], axis=1)
+        self.join(pairs.T.tolist())
+        # those that their leader does not allow may still go with others of the group
+        for g in np.flatnonzero(np.add.reduceat(~good, first)):
+            at = slice(first[g], first[g] + counts[g])
+            if counts[g] > 2:
+                self.within(node[at], n[at], bits[at])
+
+    def within(self, node: np.ndarray, n: np.ndarray, bits: np.ndarray) -> None:
+        if len(node) > self.most:  # too many to compare here: no test is always safe
+            self.join((int(node[0]), x) for x in node[1:].tolist())
+            return
+        roots = np.array([self.find(x) for x in node.tolist()])
+        kinds, sizes = np.unique(roots, return_counts=True)
+        for i in np.flatnonzero(roots != kinds[sizes.argmax()]) if len(kinds) > 1 else ():
+            apart = np.flatnonzero(roots != roots[i])
+            apart = apart[self.allowed(n[i], bits[i], n[apart], bits[apart])]
+            if len(apart):
+                self.join((int(node[i]), x) for x in node[apart].tolist())
+                met = np.isin(roots, np.append(roots[apart], roots[i]))
+                roots[met] = roots[met].min()
+
+    def edges(self) -> Iterator[dict]:
+        nodes = list(self.parent)
         for at in range(0, len(nodes), 50_000):
-            part = [(find(i), i) for i in nodes[at:at + 50_000]]
+            part = [(self.find(i), i) for i in nodes[at:at + 50_000]]
             yield {"a": [a for a, b in part if a != b], "b": [b for a, b in part if a != b]}
-    dealt = rows.repartition("digest").sortWithinPartitions("digest", "node")
-    return map_batches(dealt, meet, "a long, b long")
 
 
-def families(classes: DataFrame, ws: Scratch) -> DataFrame:
-    """(node, root) of the sets that share the digest of a range, over any number of steps."""
+def meetings(rows: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
+    """Edges (a, b) that connect all nodes which have a digest in common and may be similar.
+
+    rows: digest, node, each digest at least twice; classes: node, n_shingles, sketch. A task hands out
+    one edge for each node that it joins with others, so the edge table is short and flat.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        meeting, held = Meeting(how), None  # rows of the digest that the next batch may go on with
+        for batch in batches:
+            own = [batch.column(i).to_numpy() for i in (0, 1, 2)]
+            own.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64).reshape(-1, 8))
+            if held is not None:
+                own = [np.concatenate(x) for x in zip(held, own)]
+            cut = np.searchsorted(own[0], own[0][-1])
+            if cut:
+                meeting.groups(*(x[:cut] for x in own))
+            held = [x[cut:] for x in own]
+            if len(held[0]) > meeting.most:  # a group of this size is joined untested: its first row stands for it
+                meeting.join((int(held[1][0]), x) for x in held[1][1:].tolist())
+                held = [x[:1] for x in held]
+        if held is not None:
+            meeting.groups(*held)
+        yield from meeting.edges()
+    known = rows.join(classes.select("node", "n_shingles", "sketch").dropDuplicates(["node"]), "node").select("digest", "node", "n_shingles", "sketch")
+    return map_batches(known.repartition("digest").sortWithinPartitions("digest", "node"), run, "a long, b long")
+
+
+def families(classes: DataFrame, ws: Scratch, how: Similarity) -> DataFrame:
+    """(node, root) of the sets that may be similar to another, over any number of steps."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -179,10 +257,11 @@ def families(classes: DataFrame, ws: Scratch) -> DataFrame:
                 packed = [x or b"" for x in part.column(1).to_pylist()]
                 yield {"digest": np.frombuffer(b"".join(packed), dtype=np.int64),
                        "node": np.repeat(part.column(0).to_numpy(), [len(x) // 8 for x in packed])}
-    return links.components(meetings(map_batches(classes.select("node", "ranges"), unpack, "digest long, node long")), ws, "families")
+    shared = ws.keep("shared", shared_digests(map_batches(classes.select("node", "ranges"), unpack, "digest long, node long")))
+    return links.components(ws.keep("meetings", meetings(shared, classes, how)), ws, "families")
 
 
-def refined(members: DataFrame, texts: DataFrame, ws: Scratch, how: Similarity) -> DataFrame:
+def refined(members: DataFrame, texts: DataFrame, classes: DataFrame, ws: Scratch, how: Similarity) -> DataFrame:
     """Families after large ones have been cut by ranges under other hashes; who has no partner left drops out."""
     def fresh(seed: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -201,7 +280,8 @@ def refined(members: DataFrame, texts: DataFrame, ws: Scratch, how: Similarity)
             return members
         before, turn = count, turn + 1
         rows = map_batches(texts.join(large, "node").select("node", "root", "text"), fresh(turn), "digest long, node long, root long")
-        cut = links.components(meetings(rows.select(F.xxhash64("digest", "root").alias("digest"), "node")), ws, f"cut-{turn}")
+        shared = shared_digests(rows.select(F.xxhash64("digest", "root").alias("digest"), "node"))
+        cut = links.components(meetings(shared, classes, how), ws, f"cut-{turn}")
         small = members.join(large.select("node"), "node", "left_anti").select("node", "root")
         members = ws.keep(f"members-{turn}", small.union(cut.select("node", "root")))
 
@@ -341,10 +421,10 @@ def grouped(docs: DataFrame, ws: Scratch, how: Similarity = Similarity()) -> Dat
     docs = docs.select("doc_id", "text")
     rows = ws.keep("sets", measured(docs, how))
     classes = ws.keep("classes", rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("node")).where("node is not null"))
-    first = rows.join(classes, ["d1", "d2"]).where("doc_id = node").select("node", "ranges")
-    members = ws.keep("members", families(first, ws))
+    first = rows.join(classes, ["d1", "d2"]).where("doc_id = node").select("node", "n_shingles", "sketch", "ranges")
+    members = ws.keep("members", families(first, ws, how))
     texts = ws.keep("texts", docs.join(members, F.col("doc_id") == F.col("node")).select("node", "text"))
-    members = refined(members, texts, ws, how)
+    members = refined(members, texts, first, ws, how)
     texts = texts.join(cells(members, how), "node")
     roots = links.components(ws.keep("links", family_links(texts, how)), ws, "joined")
     return (rows.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left").join(roots, "node", "left")
