@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import tune
 from . import debruijn, decontaminate, gru_lm, html_main, line_dedup, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
+from .oracles import ORACLES  # noqa: F401
 
 
 def word_tokenizer() -> str:
@@ -42,7 +43,7 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     return warc.captures(table(spark, folder, "pages"), Scratch(spark)).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,4 +67,3 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op7_lm_scoring, op8_best_fit_packing,
                                 op9_benchmark_decontamination, op10_substring_dedup)}
-ORACLES: dict[str, str] = {}
