@@ -108,7 +108,7 @@ def _source_signatures(spark: SparkSession, folder: str) -> DataFrame:
 def _order_slice(spark: SparkSession, folder: str) -> DataFrame:
     """Delivered value by month straight from landed text: typed cleaning, strict totals, grouping."""
     raw = testbed.raw_tables(spark, folder)
-    totals = gold.order_totals(silver.order_items(raw))
+    totals = gold.order_totals(silver.typed_items(raw))
     orders = silver.orders(raw).filter(F.col("status_pedido") == silver.DELIVERED)
     joined = orders.join(totals, F.col("order_id") == F.col("_i"), "left")
     total = F.when(F.col("_i").isNull(), F.lit(0).cast("decimal(18,2)")).otherwise(F.col("valor_total_pedido"))

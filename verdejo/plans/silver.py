@@ -50,18 +50,22 @@ def orders(raw: Raw) -> DataFrame:
         S.month_label("ts_compra").alias("ano_mes_compra"))
 
 
-def order_items(raw: Raw) -> DataFrame:
+def typed_items(raw: Raw) -> DataFrame:
+    """Items with types, total and price band, before the freight fence."""
     base = raw["itens_pedido"].select(
         "order_id", S.typed("order_item_id", "int").alias("item_pedido_id"), "product_id", "seller_id",
         S.typed("shipping_limit_date", STAMP).alias("ts_limite_envio"),
         S.typed("price", S.MONEY).alias("preco_produto"),
         S.typed("freight_value", S.MONEY).alias("valor_frete"))
-    _, fenced = money_fence(base, "valor_frete")
-    return fenced.select(
-        *base.columns,
-        S.money(F.col("preco_produto") + F.col("valor_frete")).alias("valor_total_item"),
-        S.band("preco_produto", PRICE_STEPS, PRICE_ABOVE, S.NOT_INFORMED).alias("faixa_preco"),
-        (F.col("valor_frete") > F.col("fence")).alias("flag_frete_outlier"))
+    return base.select(
+        "*", S.money(F.col("preco_produto") + F.col("valor_frete")).alias("valor_total_item"),
+        S.band("preco_produto", PRICE_STEPS, PRICE_ABOVE, S.NOT_INFORMED).alias("faixa_preco"))
+
+
+def order_items(raw: Raw) -> DataFrame:
+    items = typed_items(raw)
+    _, fenced = money_fence(items, "valor_frete")
+    return fenced.select(*items.columns, (F.col("valor_frete") > F.col("fence")).alias("flag_frete_outlier"))
 
 
 def payments(raw: Raw) -> DataFrame:
