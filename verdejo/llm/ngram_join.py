@@ -403,7 +403,9 @@ def family_links(texts: DataFrame, how: Similarity) -> DataFrame:
                 raw.append(text or b"")
         if len(nodes) > 1:
             yield flush(nodes, sides, raw)
-    dealt = texts.select("cell", "side", "node", "text").repartition("cell").sortWithinPartitions("cell", "side", "node")
+    # A number of partitions keeps adaptive execution from putting many cells, small in bytes but not in work, into one task.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.select("cell", "side", "node", "text").repartition(tasks, "cell").sortWithinPartitions("cell", "side", "node")
     return map_batches(dealt, run, "a long, b long")
 
 
