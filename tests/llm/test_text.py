@@ -175,6 +175,11 @@ def test_language_model_probabilities_sum_to_one_and_gradients():
             assert abs(-(up - down) / 2e-5 - seen.grads[name][at]) < 1e-3, (name, at)
 
 
+def test_language_model_keeps_its_size():
+    how = gru_lm.Model()
+    assert how.hidden >= 16 and how.classes >= 32
+
+
 def test_language_model_without_training_rows(spark):
     assert gru_lm.scored(spark.createDataFrame([], DOCS), Scratch(spark)).count() == 0
 
