@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -180,6 +181,27 @@ def test_language_model_keeps_its_size():
     assert how.hidden >= 16 and how.classes >= 32
 
 
+def test_layout_does_not_grow_with_longest_text_times_streams():
+    how = gru_lm.Model(words=9, classes=5, hidden=4)
+    network = gru_lm.Network(np.array([30, 12, 9, 8, 7, 5, 4, 3, 2, 2, 1], dtype=float), how)
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(1, 11, n), 0) for n in [20_000, *[3] * 191]]
+    tracemalloc.start()
+    together = gru_lm.score(network, texts, how)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000 * 192 * 2  # laid out as longest text x streams it took 25 bytes a cell
+    apart = [gru_lm.score(network, [t], how)[0] for t in texts]
+    assert np.allclose(together, apart, rtol=1e-4)
+
+
+def test_sample_of_null_and_repeated_ids(spark):
+    rows = [(None, f"text {i} of null id") for i in range(3000)] + [(7, "a text that repeats")] * 3000 + [(None, None)] * 3000
+    docs = spark.createDataFrame(rows, DOCS)
+    got = gru_lm.sampled(docs, 33_000, gru_lm.Model(sample_tokens=1100)).count()
+    assert 40 < got < 160
+
+
 def test_language_model_without_training_rows(spark):
     assert gru_lm.scored(spark.createDataFrame([], DOCS), Scratch(spark)).count() == 0
 
