@@ -176,6 +176,21 @@ def test_language_model_probabilities_sum_to_one_and_gradients():
             assert abs(-(up - down) / 2e-5 - seen.grads[name][at]) < 1e-3, (name, at)
 
 
+def test_vocabulary_grows_with_the_corpus(spark):
+    rows = [(i, 1000 if i < 2000 else 3) for i in range(6000)]
+    counts = spark.createDataFrame([*rows, (int(gru_lm.END.astype(np.int64)), 500)], "word long, n long")
+    how = gru_lm.Model()
+    listed, by_id = gru_lm.listed_words(counts, how)
+    assert len(by_id) == 2002 and (listed.n_outside, listed.kinds_outside) == (12_000, 4000)
+    network = gru_lm.Network(by_id, how)
+    assert len(network.bounds) - 1 >= 40
+    h = np.random.default_rng(0).normal(size=(1, how.hidden)).astype(np.float32)
+    p = network.log_probability(np.repeat(h, 2002, axis=0), np.arange(2002))
+    assert math.isclose(np.exp(p.astype(np.float64)).sum(), 1, rel_tol=1e-4)
+    again = gru_lm.Network(by_id, how).load(network.pack())
+    assert all((a == b).all() for a, b in zip(again.parameters(), network.parameters()))
+
+
 def test_language_model_keeps_its_size():
     how = gru_lm.Model()
     assert how.hidden >= 16 and how.classes >= 32
