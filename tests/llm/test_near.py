@@ -101,6 +101,12 @@ def test_lines_repeated_rows_and_empty(spark):
     assert line_dedup.deduped(spark.createDataFrame([], DOCS), Scratch(spark)).count() == 0
 
 
+def test_short_lines_and_lines_without_blanks(spark):
+    rows = [(1, "All rights reserved\n---\n\n春の海ひねもすのたりのたりかな"), (2, "new line here\n* all RIGHTS reserved.\n春の海ひねもすのたりのたりかな\n---\n"), (3, "Go\ngo\nGo on")]
+    got = {r.doc_id: r.text for r in line_dedup.deduped(spark.createDataFrame(rows, DOCS), Scratch(spark)).collect()}
+    assert got == {1: rows[0][1], 2: "new line here\n---\n", 3: "Go\nGo on"}
+
+
 def test_normal_form_keeps_letters_and_digits(spark):
     row = spark.createDataFrame([("  Één, 2-mal!\tTest_x ",)], "t string").select(line_dedup.normal(F.col("t")).alias("n")).first()
     assert row.n == "één 2 mal test x"
