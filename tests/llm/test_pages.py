@@ -40,6 +40,24 @@ def test_text_without_marks_is_judged_by_density():
     assert got == [" ".join(long.split())] * 3
 
 
+@pytest.mark.parametrize("around", ["<body class='has-sidebar'>{}", "<div class='no-sidebar content'>{}</div>", "<form action='x'>{}<input name=q></form>",
+                                    "<body id='page-sidebar'>{}", "<div class='sidebar-layout'>{}</div>"])
+@pytest.mark.parametrize("name", ["post category-legal", "tag-social", "share", "post"])
+def test_layout_and_topic_names_do_not_reject_articles(around, name):
+    long = "This is a sentence of the story that goes on for quite a while, as such sentences do in long texts. " * 3
+    page = around.format(f"<article class='{name}'><h1>Headline</h1><p>{long}</p><p>{long}</p></article>")
+    assert html_main.main_blocks(page, TREE) == ["Headline", *[" ".join(long.split())] * 2]
+
+
+def test_asides_stay_out_of_articles_and_forms():
+    long = "Somebody replies at length that this is all very fine and that more of it should be read by everybody. " * 2
+    for name in ("comment", "related-posts", "ad-box"):
+        assert html_main.main_blocks(f"<main><article class='{name}'><p>{long}</p></article></main>", TREE) == []
+    assert html_main.main_blocks(f"<aside><article><p>{long}</p></article></aside>", TREE) == []
+    form = "<form><p>Your mail <input></p><select><option>One</select><p>Name <input></p></form>"
+    assert html_main.main_blocks(f"<main><p>{long}</p>{form}</main>", TREE) == [" ".join(long.split())]
+
+
 def test_tree_fits_its_table():
     assert all(html_main.answer(TREE, r[:-1]) == bool(r[-1]) for r in html_main.LABELLED)
 

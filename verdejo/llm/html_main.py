@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,7 +23,7 @@ from .kit import map_batches
 
 #: Markup whose content is no text of the page.
 DROPPED = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "embed", "canvas", "audio", "video",
-           "select", "textarea", "button", "head", "title", "map", "datalist", "form", "xml"}
+           "select", "textarea", "button", "head", "title", "map", "datalist", "xml"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}  # content is not markup
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
@@ -41,6 +42,12 @@ ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "promotion", "sponsor", "sponsored", "related", "recommended", "share", "sharing", "social", "comment", "comments", "reply",
                "replies", "discussion", "disqus", "breadcrumb", "breadcrumbs", "subscribe", "subscription", "newsletter", "popup", "modal",
                "overlay", "widget", "copyright", "disclaimer", "login", "signup", "toolbar", "pagination", "pager", "tags", "legal"}
+#: Asides also where an article or main element bears the name or stands inside.
+FOREIGN_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adbox", "promo", "promotion", "sponsor", "sponsored", "related",
+                 "recommended", "comment", "comments", "reply", "replies", "discussion", "disqus", "widget"}
+#: What follows one of these in a class name tells of the layout or the topic, not of the element's part in the page.
+STATES = {"has", "have", "no", "not", "is", "with", "without", "category", "cat", "tag", "topic", "format", "type", "status"}
+LONG_BLOCK = 20  # words; blocks of a form that are shorter stay only if long ones hold most of its text
 MAIN_WORDS = {"article", "content", "main", "post", "entry", "story", "body", "text"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar", "toolbar"}
 
@@ -137,20 +144,25 @@ class Block:
     links: float     # share of words inside links
     in_main: bool
     in_aside: bool
+    form: int = 0    # number of the form around it, or 0
+
+
+NO_STATE = (False, 0, False, 0)
 
 
 @dataclass
 class _Reader:
     """Collects text pieces into blocks while tags go by."""
     blocks: list[Block] = field(default_factory=list)
-    stack: list[tuple[str, bool, bool, bool]] = field(default_factory=list)  # tag, main, aside, dropped
+    stack: list[tuple[str, bool, int, bool, int]] = field(default_factory=list)  # tag, main, aside (1: a layout name, 2: for sure), dropped, form
+    forms: int = 0
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     anchors: int = 0
 
     @property
-    def state(self) -> tuple[bool, bool, bool]:
-        return self.stack[-1][1:] if self.stack else (False, False, False)
+    def state(self) -> tuple[bool, int, bool, int]:
+        return self.stack[-1][1:] if self.stack else NO_STATE
 
     def text(self, raw: str) -> None:
         if raw and not self.state[2]:
@@ -163,8 +175,8 @@ class _Reader:
             words = entities.unescape("".join(self.pieces)).split()
             if words:
                 inside = len(entities.unescape(" ".join(self.linked)).split())
-                main, aside, _ = self.state
-                self.blocks.append(Block(" ".join(words), len(words), min(1.0, inside / len(words)), main, aside))
+                main, aside, _, form = self.state
+                self.blocks.append(Block(" ".join(words), len(words), min(1.0, inside / len(words)), main, aside > 0, form))
             self.pieces, self.linked = [], []
 
     def open(self, tag: str, attributes: str) -> None:
@@ -182,16 +194,23 @@ class _Reader:
             ends = OPTIONAL_END.get(tag, {"p"} if tag in CLOSES_P else ())
             while self.stack and self.stack[-1][0] in ends:
                 self.stack.pop()
-        main, aside, dropped = self.state
-        named_main, named_aside, hidden = _marks(attributes) if attributes.strip(" /") else (False, False, False)
-        own_aside = named_aside or tag in ASIDE_TAGS and not (tag in ("header", "figcaption") and main)
-        if tag in MAIN_TAGS and not named_aside:
-            main, own_aside = True, False
+        main, aside, dropped, form = self.state
+        named_main, named_aside, hidden = _marks(attributes) if attributes.strip(" /") else (False, 0, False)
+        own_aside = 2 if tag in ASIDE_TAGS and not (tag in ("header", "figcaption") and main) else named_aside and min(named_aside, 2)
+        if tag in ("html", "body") and named_aside < 3:
+            own_aside = 0
+        if tag in MAIN_TAGS:
+            own_aside = 2 if named_aside == 3 else 0
+            main, aside = main or not own_aside, 0 if aside == 1 else aside
         main = main or named_main and not own_aside
-        if not block and (own_aside != aside or hidden):
+        aside = max(aside, own_aside)
+        if not block and (aside != self.state[1] or hidden):
             self.flush()
+        if tag == "form":
+            self.forms += 1
+            form = self.forms
         if not attributes.rstrip().endswith("/"):
-            self.stack.append((tag, main, aside or own_aside, dropped or hidden or tag in DROPPED))
+            self.stack.append((tag, main, aside, dropped or hidden or tag in DROPPED, form))
 
     def close(self, tag: str) -> None:
         if tag == "a":
@@ -203,22 +222,29 @@ class _Reader:
             if self.stack[i][0] == tag:
                 if tag in INLINE and (any(s[0] not in INLINE for s in self.stack[i + 1:])):
                     return  # an inline end never closes a block
-                if tag in INLINE and self.stack[i][1:] != (self.stack[i - 1][1:] if i else (False, False, False)):
+                if tag in INLINE and self.stack[i][1:] != (self.stack[i - 1][1:] if i else NO_STATE):
                     self.flush()
                 del self.stack[i:]
                 return
 
 
-def _marks(attributes: str) -> tuple[bool, bool, bool]:
-    """Whether class, id and role name a main part or an aside; whether the element is hidden."""
-    main = aside = hidden = False
+def _marks(attributes: str) -> tuple[bool, int, bool]:
+    """Whether class, id and role name a main part; an aside (1: by a part of a name, 2: by a whole name or role, 3: as
+    content foreign to any article); whether the element is hidden."""
+    main, aside, hidden = False, 0, False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            words = set(TOKEN.findall(value))
-            aside, main = aside or bool(words & ASIDE_WORDS), main or bool(words & MAIN_WORDS)
+            for one in value.split():
+                parts = TOKEN.findall(one)
+                parts = parts[:next((i for i, x in enumerate(parts) if x in STATES), len(parts))]
+                if FOREIGN_WORDS.intersection(parts):
+                    aside = 3
+                elif ASIDE_WORDS.intersection(parts):
+                    aside = max(aside, 2 if len(parts) == 1 else 1)
+                main = main or not MAIN_WORDS.isdisjoint(parts)
         elif name == "role":
-            aside, main = aside or value in ASIDE_ROLES, main or value == "main"
+            aside, main = max(aside, 1 if value == "form" else 3 if value in ASIDE_ROLES else 0), main or value == "main"
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             hidden = True
     return main and not aside, aside, hidden
@@ -247,7 +273,16 @@ def blocks(page: str) -> list[Block]:
             out.open(tag, m[3] or m[6] or "")
     out.text(page[at:])
     out.flush()
-    return out.blocks
+    return _without_controls(out.blocks)
+
+
+def _without_controls(found: list[Block]) -> list[Block]:
+    """Short blocks of a form go as its controls do, unless long blocks hold most of its text: then the form only wraps the page."""
+    long, words = Counter(), Counter()
+    for b in found:
+        words[b.form] += b.words
+        long[b.form] += b.words * (b.words >= LONG_BLOCK)
+    return [b for b in found if not b.form or b.words >= LONG_BLOCK or 2 * long[b.form] >= words[b.form]]
 
 
 def main_blocks(page: str, tree: Node) -> list[str]:
