@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import tracemalloc
+import weakref
 import zlib
 from collections import Counter
 
@@ -75,6 +76,19 @@ def test_decontamination(spark, how):
     assert all(sum(s.after - s.first for s in r.spans) == r.n_hit for r in got)
 
 
+def test_one_block_of_the_benchmark_is_held(spark):
+    how = decontaminate.Search(block_phrases=2)
+    items = spark.createDataFrame([(i, f"a few words of item number {i}") for i in range(9)], "item_id long, text string")
+    shipped = [spark.sparkContext.broadcast(b) for b in decontaminate.phrase_blocks(items, how)]
+    hashes = np.concatenate([b.hashes[0, :b.lengths[0]] for b in decontaminate.Blocks(shipped)])
+    held = []
+    for *_, block in decontaminate.find(hashes, np.array([0, len(hashes)]), decontaminate.Blocks(shipped), how):
+        held.append(weakref.ref(block))
+        del block
+        assert sum(h() is not None for h in held) == 1 and not any("_value" in b.__dict__ for b in shipped)
+    assert len(held) == len(shipped) == 5
+
+
 def test_decontaminated_rows_keep_their_columns(spark):
     df = spark.createDataFrame([(1, "short item", "a"), (2, "fine text here", "b"), (3, None, "c")], DOCS + ", _key string")
     kept = decontaminate.kept_documents(df, spark.createDataFrame(ITEMS, "item_id long, text string"), Scratch(spark))

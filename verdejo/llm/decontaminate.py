@@ -4,8 +4,9 @@ A task gathers documents into shards of about a million words, builds an FM-inde
 (suffix array by prefix doubling, Burrows-Wheeler transform in a wavelet matrix, sampled suffix
 positions), searches every benchmark window backwards, locates the occurrences and merges their
 spans. Symbols are 16 bits of a word's hash, so each located place is compared with the full hashes
-of the window's words. Nothing is shuffled. The benchmark is the query set: it is streamed to the
-driver and shipped in blocks of bounded size, each searched in every shard.
+of the window's words. Nothing is shuffled. The benchmark is the query set: it is streamed through the
+driver, which writes it in blocks of bounded size; each shard reads them one after the other, and a worker
+holds one at a time.
 
 Defined cases: null texts have no words and cannot be hit; an item without words has no window; the
 same window in several items counts for each; items without an id hit but are not named. Repeated
@@ -171,7 +172,23 @@ def phrase_blocks(benchmark: DataFrame, how: Search) -> Iterator[Phrases]:
         yield Phrases.of(windows, how.window)
 
 
-def find(hashes: np.ndarray, starts: np.ndarray, blocks: list[Phrases], how: Search) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Phrases]]:
+class Blocks:
+    """Broadcast blocks, read anew each time they are gone through unless there is only one; none is kept once the next is asked for."""
+
+    def __init__(self, shipped: list[Broadcast]):
+        self.shipped = shipped
+
+    def __iter__(self) -> Iterator[Phrases]:
+        return map(self.read, self.shipped)
+
+    def read(self, one: Broadcast) -> Phrases:
+        block = one.value
+        if len(self.shipped) > 1 and getattr(one, "_path", None):  # it can be read again from its file
+            one.__dict__.pop("_value", None)
+        return block
+
+
+def find(hashes: np.ndarray, starts: np.ndarray, blocks: Blocks, how: Search) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Phrases]]:
     """Occurrences of each block's phrases: text number, first word in the text, phrase. ``starts`` bounds the texts."""
     n_texts = len(starts) - 1
     ends = starts[1:] + np.arange(n_texts)          # where the closing symbols go
@@ -194,12 +211,13 @@ def find(hashes: np.ndarray, starts: np.ndarray, blocks: list[Phrases], how: Sea
         phrase, place = phrase[same], place[same]
         text = np.searchsorted(ends, place)
         yield text, place - starts[text] - text, phrase, block
+        del block  # before the next one is read
 
 
 class Shard:
     """Documents gathered until there are enough words for an index."""
 
-    def __init__(self, how: Search, blocks: list[Phrases]):
+    def __init__(self, how: Search, blocks: Blocks):
         self.how, self.blocks = how, blocks
         self.ids: list = []
         self.keys: list[int] = []
@@ -233,6 +251,7 @@ class Shard:
                 owner = np.searchsorted(base, place, side="right") - 1
                 for doc, p in np.unique(np.stack((owner, phrase)), axis=1).T.tolist():
                     items.setdefault(doc, set()).update(block.items[block.starts[p]:block.starts[p + 1]].tolist())
+                del block
         hit = np.cumsum(edges[:-1]) > 0
         total = np.concatenate(([0], np.cumsum(hit)))
         n_hit = total[base[1:]] - total[base[:-1]]
@@ -259,7 +278,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Dat
     blocks: list[Broadcast] = [context.broadcast(b) for b in phrase_blocks(benchmark, how)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shard = Shard(how, [b.value for b in blocks])
+        shard = Shard(how, Blocks(blocks))
         for batch in batches:
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b, data, offsets in columns(batch, "text"):
