@@ -47,4 +47,39 @@ kept as (select x.doc_id, string_agg(x.v, ' ' order by x.k) t, count(*) n
 select p.doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256
 from p left join kept using (doc_id)"""
 
-ORACLES = {"op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}
+_FIELD = "coalesce(cast(octet_length(encode(cast({0} as varchar))) as varchar) || ':' || cast({0} as varchar), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{t}")) + ")"
+_UP = """select tree, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' order by pos)), list(h order by pos) from {0} where n > 1
+  group by tree, lvl, pos // 8, n"""
+_FOLD = """select c.k, r.lvl, r.pos, sha256(array_to_string(list_transform(r.kids, lambda h, i: case when i = c.pos % 8 + 1 then c.f else h end), '')),
+    c.sibs || array_to_string(list_filter(r.kids, lambda h, i: i <> c.pos % 8 + 1), '')
+  from {0} c {1} join {2} r on r.lvl = c.lvl + 1 and r.pos = c.pos // 8"""
+_TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: bit by bit over its characters."""
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    byte = f"list_reduce(list_prepend(xor(c, cast(b as bigint)), [cast(0 as bigint) for _ in range(8)]), lambda c, z: {step})"
+    return (f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split({text}, ''), lambda ch: cast(ord(ch) as bigint))),"
+            f" lambda c, b: {byte}), 4294967295)")
+
+
+MANIFEST = f"""
+with recursive d as (
+  select *, row_number() over () k from documents),
+l as (select k, doc_id, coalesce('=' || lang, '') tree, {_LEAF.format(t="text")} h,
+  case when {_crc32("cast(doc_id as varchar)")} % 3 = 0 then {_LEAF.format(t=_TAMPERED)} else {_LEAF.format(t="text")} end f from d),
+o as (select *, row_number() over (partition by tree order by doc_id nulls first, h, k) - 1 pos, count(*) over (partition by tree) n from l),
+low(tree, lvl, pos, n, h, kids) as (select tree, 0, pos, n, h, cast(null as varchar[]) from o union all {_UP.format("low")}),
+subs as (select tree name, h, row_number() over (order by encode(tree)) - 1 pos, count(*) over () n from low where n = 1),
+high(tree, lvl, pos, n, h, kids) as (select '', 0, pos, n, h, cast(null as varchar[]) from subs union all {_UP.format("high")}),
+below(k, lvl, pos, f, sibs) as (select k, 0, pos, f, '' from o union all {_FOLD.format("below", "join o using (k)", "low").replace("r on", "r on r.tree = o.tree and")}),
+mid as (select k, max_by(f, lvl) f, max_by(sibs, lvl) sibs from below group by k),
+above(k, lvl, pos, f, sibs) as (select mid.k, 0, subs.pos, mid.f, mid.sibs from mid join o on o.k = mid.k join subs on subs.name = o.tree
+  union all {_FOLD.format("above", "", "high")}),
+ends as (select k, max_by(f, lvl) f, max_by(sibs, lvl) sibs from above group by k)
+select o.doc_id, o.h leaf, subs.h subroot, root.h root, sha256(sibs) proof_sha256, ends.f folded_root, ends.f = root.h verified
+from o join ends using (k) join subs on subs.name = o.tree cross join (select h from high where n = 1) root"""
+
+ORACLES = {"op13_merkle_manifest": MANIFEST, "op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}
