@@ -67,8 +67,10 @@ def tampered(doc_id: Column, text: Column) -> Column:
     return F.when(F.crc32(doc_id.cast("string")) % 3 == 0, F.translate(text, _UPPER, _LOWER)).otherwise(text)
 
 
-def _numbered(rows: DataFrame, tree: str, order: list[str], ws: Scratch, name: str) -> DataFrame:
-    """Adds ``first`` (number over all rows by tree and order), ``pos`` (the same within the tree) and ``n`` (rows of the tree)."""
+def _numbered(rows: DataFrame, tree: str, order: list[str], ws: Scratch, name: str) -> tuple[DataFrame, int]:
+    """Adds ``first`` (number over all rows by tree and order), ``pos`` (the same within the tree) and ``n`` (rows of the tree).
+
+    Returns the rows and the size of the largest tree."""
     by = [F.col(c).asc_nulls_first() for c in (tree, *order)]
     placed = ws.keep(name, rows.repartitionByRange(*by).sortWithinPartitions(*by)
                      .withColumn("part", F.spark_partition_id())
@@ -80,17 +82,19 @@ def _numbered(rows: DataFrame, tree: str, order: list[str], ws: Scratch, name: s
     shifts = sizes.select("part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("shift"))
     whole = Window.partitionBy(tree)
     before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.join(shifts, "part").select(
+    runs = ws.keep(f"{name}-runs", runs.join(shifts, "part").select(
         F.col("part").alias("p"), F.col(tree).alias("t"), "shift", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("opens")).alias("own"),
-        F.sum("size").over(whole).alias("n"))
-    return placed.join(runs, (F.col("part") == F.col("p")) & F.col(tree).eqNullSafe(F.col("t"))).select(
+        F.sum("size").over(whole).alias("n")))
+    numbered = placed.join(runs, (F.col("part") == F.col("p")) & F.col(tree).eqNullSafe(F.col("t"))).select(
         *rows.columns, (F.col("shift") + F.col("row")).alias("first"), (F.col("own") + F.col("row")).alias("pos"), "n")
+    return numbered, runs.agg(F.max("n")).first()[0] or 0
+
 
+def _raised(level: DataFrame, most: int, base: int, ws: Scratch, name: str) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Node rows of all trees of ``level(tree, pos, n, node, hash, kids, doc_id, proved, subroot)``, and the rows left at their tops.
 
-def _raised(level: DataFrame, base: int, ws: Scratch, name: str) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Node rows of all trees of ``level(tree, pos, n, node, hash, kids, doc_id, proved, subroot)``, and the rows left at their tops."""
+    ``most`` is the size of the largest tree."""
     done, tops, height = [], [], 0
-    most = level.agg(F.max("n")).first()[0] or 0
     while True:
         tops.append(level.where("n = 1"))
         if most <= 1:
@@ -121,14 +125,16 @@ def build(docs: DataFrame, ws: Scratch, proved: Column | None = None) -> Manifes
     text = F.col("text")
     leaves = docs.select("doc_id", F.col("lang").alias("tree"), _leaf(text).alias("hash"), _leaf(text if proved is None else proved).alias("proved"),
                          F.monotonically_increasing_id().alias("copy"))  # equal rows are spread, too
-    leaves = _numbered(leaves, "tree", ["doc_id", "hash", "copy"], ws, "leaves").select(
+    leaves, most = _numbered(leaves, "tree", ["doc_id", "hash", "copy"], ws, "leaves")
+    leaves = leaves.select(
         "tree", "pos", "n", (F.col("first") * _LEVELS).alias("node"), "hash", F.lit(None).cast("binary").alias("kids"), "doc_id", "proved",
         F.lit(False).alias("subroot"))
-    below, tops = _raised(leaves, 0, ws, "level")
+    below, tops = _raised(leaves, most, 0, ws, "level")
     subroots = _all(tops).select("tree", "node", "hash", "kids", "doc_id", "proved").withColumn("one", F.lit(0))
-    subroots = _numbered(subroots, "one", ["tree"], ws, "subroots").select(
+    subroots, most = _numbered(subroots, "one", ["tree"], ws, "subroots")
+    subroots = subroots.select(
         F.col("one").alias("tree"), "pos", "n", "node", "hash", "kids", "doc_id", "proved", F.lit(True).alias("subroot"))
-    above, root = _raised(subroots, _LEVELS // 2, ws, "top")
+    above, root = _raised(subroots, most, _LEVELS // 2, ws, "top")
     roots = _all(root).select("node", F.lit(None).cast("long").alias("parent"), F.lit(None).cast("int").alias("slot"), "hash", "kids", "subroot", "doc_id", "proved")
     return Manifest(ws.keep("nodes", _all([*below, *above, roots]).select(*(f.split()[0] for f in NODE.split(", ")))))
 
