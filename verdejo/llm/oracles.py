@@ -82,4 +82,22 @@ ends as (select k, max_by(f, lvl) f, max_by(sibs, lvl) sibs from above group by
 select o.doc_id, o.h leaf, subs.h subroot, root.h root, sha256(sibs) proof_sha256, ends.f folded_root, ends.f = root.h verified
 from o join ends using (k) join subs on subs.name = o.tree cross join (select h from high where n = 1) root"""
 
-ORACLES = {"op13_merkle_manifest": MANIFEST, "op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}
+TRIE = f"""
+with t as (select conv_id, coalesce(role, '') r, coalesce(text, '') t, row_number() over (partition by conv_id order by turn nulls first) i
+  from conversations where conv_id is not null),
+own as (select conv_id, list(octet_length(encode(r)) || ':' || r || t order by i) a, list(len({_words("t", BREAKS)}) order by i) w from t group by conv_id),
+h as (select *, cast({_crc32("cast(conv_id as varchar)")} % 4 as integer) h, conv_id - conv_id % 20 base from own),
+re as (select h.conv_id, coalesce(b.a[1:h.h], []) || h.a[h.h + 1:] a, coalesce(b.w[1:h.h], []) || h.w[h.h + 1:] w from h left join own b on b.conv_id = h.base),
+pre as (select conv_id, len(a) n, d, sha256(array_to_string(list_transform(a[1:d], lambda x: sha256(x)), '')) k, coalesce(w[d], 0) w
+  from (select *, unnest(range(0, len(a) + 1)) d from re)),
+node as (select d, k, min(conv_id) conv_id, count(*) n_convs, max(w) w, string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (n = d) ends
+  from pre group by d, k),
+up as (select node.*, p.k pk from node left join pre p on p.conv_id = node.conv_id and p.d = node.d - 1),
+kids as (select d - 1 d, pk k, count(*) n_children from up where d > 0 group by all),
+full_ as (select up.*, coalesce(n_children, 0) n_children from up left join kids using (d, k)),
+sub as (select p.d, p.k, sum(cast(f.n_children = 0 as bigint)) n_leaves, sum((f.n_convs - 1) * f.w) saved from full_ f join pre p on p.conv_id = f.conv_id and p.d <= f.d group by all)
+select f.conv_id, cast(f.d as bigint) depth, par.conv_id parent_conv_id, f.n_convs, f.n_children, cast(n_leaves as bigint) n_leaves, cast(saved as bigint) saved_tokens,
+  sha256(coalesce(f.ends, '')) ends_sha256
+from full_ f join sub using (d, k) left join node par on par.d = f.d - 1 and par.k = f.pk"""
+
+ORACLES = {"op11_conversation_trie": TRIE, "op13_merkle_manifest": MANIFEST, "op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}

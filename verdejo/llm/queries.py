@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import debruijn, decontaminate, gru_lm, html_main, line_dedup, merkle, ngram_join, packing, quality_rules, url_filter, warc
+from . import conversation_trie, debruijn, decontaminate, gru_lm, html_main, line_dedup, merkle, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 from .oracles import ORACLES  # noqa: F401
 
@@ -65,6 +65,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.removed(table(spark, folder, "documents"), Scratch(spark)).drop("kept")
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    return conversation_trie.trie(table(spark, folder, "conversations"), Scratch(spark))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     docs, ws = table(spark, folder, "documents"), Scratch(spark)
@@ -72,4 +77,4 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op7_lm_scoring, op8_best_fit_packing,
-                                op9_benchmark_decontamination, op10_substring_dedup, op13_merkle_manifest)}
+                                op9_benchmark_decontamination, op10_substring_dedup, op11_conversation_trie, op13_merkle_manifest)}
