@@ -100,4 +100,27 @@ select f.conv_id, cast(f.d as bigint) depth, par.conv_id parent_conv_id, f.n_con
   sha256(coalesce(f.ends, '')) ends_sha256
 from full_ f join sub using (d, k) left join node par on par.d = f.d - 1 and par.k = f.pk"""
 
-ORACLES = {"op11_conversation_trie": TRIE, "op13_merkle_manifest": MANIFEST, "op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}
+_ESCAPED = r"regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|\|)', '\1\\\2\3', 'g')"
+CHAT = f"""
+with recursive c as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from (select conv_id, turn, role, text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) i, len({_words("text", BREAKS)}) + 2 size,
+  length({_ESCAPED.format("text")}) + length(regexp_replace({_ESCAPED.format("role")}, '(\\|)(\\\\*)>', '\\1\\\\\\2>', 'g')) + 8 chars from c),
+t as (select *, cast(sum(size) over (partition by conv_id order by i) as bigint) upto from r),
+s as (select conv_id, role = 'system' lead, case when role = 'system' then size else 0 end lead_size, case when role = 'system' then chars else 0 end lead_chars from t where i = 1),
+w(conv_id, k, first, origin) as (
+  select conv_id, 0, cast(lead as bigint) + 1, cast(lead_size as bigint) from s
+  union all
+  select w.conv_id, w.k + 1, min(t.i), min(t.upto - t.size) from w join s on s.conv_id is not distinct from w.conv_id
+    join t on t.conv_id is not distinct from w.conv_id and t.i > w.first
+      and t.upto - w.origin > case when w.k = 0 then 1024 - lead_size else greatest(1024 - lead_size - 256, 1) end
+  group by w.conv_id, w.k),
+more as (select w.conv_id, sum(lead_chars + coalesce((select sum(chars) from t where t.conv_id is not distinct from w.conv_id and t.i < w.first
+    and t.i >= greatest(w.first - 4, cast(lead as bigint) + 1) and w.origin - (t.upto - t.size) <= 256), 0)) extra
+  from w join s on s.conv_id is not distinct from w.conv_id where w.k > 0 group by w.conv_id),
+g as (select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) turns_sha256,
+  coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '') loss, sum(chars) chars from t group by conv_id)
+select g.conv_id, n_turns, turns_sha256, cast(length(loss) as bigint) loss_chars, sha256(loss) loss_sha256, cast(chars + coalesce(extra, 0) as bigint) formatted_chars
+from g left join more on more.conv_id is not distinct from g.conv_id"""
+
+ORACLES = {"op12_chat_formatting": CHAT, "op11_conversation_trie": TRIE, "op13_merkle_manifest": MANIFEST, "op6_warc": CAPTURES, "op9_benchmark_decontamination": DECONTAMINATION, "op10_substring_dedup": SUBSTRINGS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import conversation_trie, debruijn, decontaminate, gru_lm, html_main, line_dedup, merkle, ngram_join, packing, quality_rules, url_filter, warc
+from . import chat_windows, conversation_trie, debruijn, decontaminate, gru_lm, html_main, line_dedup, merkle, ngram_join, packing, quality_rules, url_filter, warc
 from .kit import Scratch, table
 from .oracles import ORACLES  # noqa: F401
 
@@ -70,6 +70,17 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(table(spark, folder, "conversations"), Scratch(spark))
 
 
+#: A conversation whose texts are control strings.
+PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op12_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    tune(spark)
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    windows = Scratch(spark).keep("windows", chat_windows.windows(rows.union(spark.createDataFrame(PROBE, rows.schema))))
+    return chat_windows.digests(chat_windows.read_back(windows))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
     docs, ws = table(spark, folder, "documents"), Scratch(spark)
@@ -77,4 +88,4 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_ngram_jaccard_join, op3_quality_rules, op4_url_filter, op5_line_dedup, op6_warc, op7_lm_scoring, op8_best_fit_packing,
-                                op9_benchmark_decontamination, op10_substring_dedup, op11_conversation_trie, op13_merkle_manifest)}
+                                op9_benchmark_decontamination, op10_substring_dedup, op11_conversation_trie, op12_chat_formatting, op13_merkle_manifest)}
