@@ -17,6 +17,7 @@ from verdejo.operators.impute import impute_medians
 from verdejo.operators.integrity import one_sided, orphans, repeated
 from verdejo.operators.keys import dense_ids
 from verdejo.operators.picks import dominant, latest, most_frequent
+from verdejo.operators import quantiles
 from verdejo.operators.quantiles import group_quantiles, money_fence
 from verdejo.operators.signature import key_changes, signature
 from verdejo.session import Workspace
@@ -64,6 +65,31 @@ def test_quantiles_are_exact_for_hot_and_small_groups(spark):
             assert math.isclose(r[n], float(np.quantile(want[r.k], p)), rel_tol=1e-12, abs_tol=1e-9), (r.k, n)
 
 
+@pytest.mark.parametrize("small", [0, 1 << 16])
+def test_quantiles_of_large_and_small_slices(spark, small):
+    rng = random.Random(8)
+    near = [-23.55 + rng.random() * 1e-6 for _ in range(3000)] + [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, 1.5, 1.5, math.nextafter(1.5, 2)]
+    rows = [(v, k % 3) for k, v in enumerate(near)] + [(float("inf"), 7), (1.0, 7), (float("inf"), 7), (2.5, None)]
+    df = spark.createDataFrame(rows, "v double, k int").repartition(5)
+    got = {r.k: r for r in group_quantiles(df, ["k"], {"a": ("v", 0.1), "m": ("v", 0.5), "t": ("v", 1.0)}, small=small).collect()}
+    for k in (0, 1, 2):
+        own = [v for v, g in rows if g == k]
+        for name, p in (("a", 0.1), ("m", 0.5), ("t", 1.0)):
+            assert math.isclose(got[k][name], float(np.quantile(own, p)), rel_tol=1e-15, abs_tol=1e-12), (k, name)
+    assert (got[7].m, got[7].t, got[None].m) == (float("inf"), float("inf"), 2.5)
+
+
+def test_close_values_share_no_large_step(spark):
+    """A million latitudes within a thousandth of a degree: one slice, but no piece of more than a few."""
+    df = spark.range(1_000_000).select((F.lit(-23.55) + F.col("id") * 1e-9).alias("v"))
+    chain = quantiles.steps([], {"m": ("v", 0.5)})
+    assert spark.sql(quantiles.sql_of(chain, "_slices"), df=df).count() <= 3
+    pieces = spark.sql(quantiles.sql_of(chain, "_pieces"), df=df).agg(F.max("_n"), F.count(F.lit(1))).first()
+    assert pieces[0] <= 8 and pieces[1] > 400_000
+    got = group_quantiles(df, [], {"m": ("v", 0.5)}).first().m
+    assert got == float(np.median(-23.55 + np.arange(1_000_000) * 1e-9))
+
+
 def test_global_quantile_and_money_fence(spark):
     rng = random.Random(1)
     values = [rng.random() for _ in range(5001)]

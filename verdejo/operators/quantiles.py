@@ -1,10 +1,12 @@
 """Exact, linearly interpolated quantiles per group, by one road for groups of every size.
 
-Values are counted, then the counts are summed over slices of the value axis: a slice holds values
-whose logarithms agree to 1/4096 of an octave, so their number is bounded whatever the data. Running
-sums over a group's slices tell which slices hold the wanted ranks; the values of those slices alone
-are ranked. Every step is a partial aggregate or a window over a bounded set; nothing runs while the
-plan is built, and nothing is broadcast.
+The wanted ranks are found by narrowing. Values are counted once. The counts are summed over slices of the value axis
+whose logarithms agree to 1/4096 of an octave; running sums over a group's slices tell in which one a wanted rank
+lies. A slice of many values is cut again, evenly between its smallest and its largest value, and running sums tell the
+piece. The values of a small slice, or of one piece, are walked through. A slice holds fewer than 2**41 doubles and a piece a 2**20th of them, so a running sum meets at most
+2**24 rows and the last walk at most 2**21 values, however many values there are and however close together they lie;
+close values share a slice, but not a piece. Every step is a partial aggregate, so one hot group is summed on the map
+side; nothing runs while the plan is built, and the steps are one SQL text, so the plan is analysed once.
 """
 
 from __future__ import annotations
@@ -13,67 +15,81 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 _PER_OCTAVE = 4096
 _OCTAVES = 1100  # doubles reach down to 2**-1074
+PIECES = 1 << 20
+#: A slice of more values than this is cut.
+SMALL = 1 << 16
 
 Spec = Mapping[str, tuple[str, float]]
 
+# A whole number that never falls when the value rises.
+_SIZE = f"cast(floor(if(isnan(_v), {2 * _OCTAVES}, least(log2(abs(_v)), {_OCTAVES}D)) * {_PER_OCTAVE}) as bigint) + {_PER_OCTAVE * _OCTAVES}"
+_SLICE = f"case when _v = 0 then 0 when _v < 0 then -({_SIZE}) else {_SIZE} end"
+# The place of a value among even pieces between the ends of its slice; never falls when the value rises.
+_PIECE = f"if(t._least = t._most, 0, floor((v._v - t._least) / (t._most - t._least) * {PIECES}))"
 
-def _slice(v: Column) -> Column:
-    """A whole number that never falls when the value rises."""
-    octave = F.when(F.isnan(v), 2 * _OCTAVES).otherwise(F.least(F.log2(F.abs(v)), F.lit(float(_OCTAVES))))
-    size = F.floor(octave * _PER_OCTAVE) + _PER_OCTAVE * _OCTAVES
-    return F.when(v == 0, F.lit(0)).when(v < 0, -size).otherwise(size)
 
-
-def _same(keys: Sequence[str], other: Mapping[str, str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(other[k]))
-    return cond
-
-
-def group_quantiles(df: DataFrame, keys: Sequence[str], spec: Spec, also: Mapping[str, Column] | None = None) -> DataFrame:
+def steps(keys: Sequence[str], spec: Spec, small: int = SMALL) -> dict[str, str]:
+    """The narrowing, step by step: name -> SELECT over ``{df}`` and the steps before."""
+    columns = list(dict.fromkeys(c for c, _ in spec.values()))
+    by = "".join(f"`{k}`, " for k in keys)
+    alike = " and ".join([*(f"v.`{k}` <=> t.`{k}`" for k in keys), "v._i = t._i", "v._s = t._s"])
+    own = "".join(f"v.`{k}`, " for k in keys) + "v._i, v._s"
+    cells = ", ".join(f"struct({i} as _i, cast(`{c}` as double) as _v)" for i, c in enumerate(columns))
+    wanted = ", ".join(f"struct({q} as _q, {columns.index(c)} as _of, {float(p)!r}D as _p)" for q, (c, p) in enumerate(spec.values()))
+    running = "order by {} rows between unbounded preceding and current row"
+    rank = "explode(array_distinct(array(floor(_pos), ceil(_pos)))) as _rank"
+    ends = ", ".join(f"{f}(if(_q = {q}, {c}, null)) as {n}{q}" for q in range(len(spec)) for n, f, c in (
+        ("_a", "min", "_value"), ("_b", "max", "_value"), ("_p", "max", "_pos")))
+    between = ", ".join(f"if(_a{q} = _b{q}, _a{q}, (ceil(_p{q}) - _p{q}) * _a{q} + (_p{q} - floor(_p{q})) * _b{q}) as `{name}`" for q, name in enumerate(spec))
+    return {
+        "_cells": f"select {by}inline(array({cells})) from {{df}}",
+        "_values": f"select {by}_i, _v, _c, {_SLICE} as _s from (select {by}_i, _v, count(1) as _c from _cells where _v is not null group by {by}_i, _v)",
+        "_slices": f"""select {by}_i, _s, _n, _m, _least, _most, sum(_n) over (partition by {by}_i {running.format('_s')}) as _upto, sum(_n) over (partition by {by}_i) as _total
+          from (select {by}_i, _s, sum(_c) as _n, count(1) as _m, min(_v) as _least, max(_v) as _most from _values group by {by}_i, _s)""",
+        "_targets": f"""select * from (select {by}_i, _s, _q, _pos, _upto - _n as _before, _upto, _m, _least, _most, {rank} from (
+          select *, _w._q as _q, (_total - 1) * _w._p as _pos from (select *, explode(array({wanted})) as _w from _slices) where _w._of = _i))
+          where _before <= _rank and _rank < _upto""",
+        # Where no slice is large, this road is known to be empty at run time and costs nothing.
+        "_pieces": f"""select {by}_i, _s, _q, _rank, _d, _n, _pos, _base, _least, _most, sum(_n) over (partition by {by}_i, _s, _q, _rank {running.format('_d')}) as _upto
+          from (select {own}, t._q, t._rank, {_PIECE} as _d, sum(v._c) as _n, first(t._pos) as _pos, first(t._before) as _base, first(t._least) as _least, first(t._most) as _most
+            from _values v join _targets t on {alike} where t._m > {small} group by {own}, t._q, t._rank, {_PIECE})""",
+        "_found": f"""select {by}_i, _s, _q, _rank, _pos, _before, _least, _most, cast(null as bigint) as _piece from _targets where _m <= {small} union all
+          select {by}_i, _s, _q, _rank, _pos, _base + _upto - _n, _least, _most, _d from _pieces where _base + _upto - _n <= _rank and _rank < _base + _upto""",
+        "_walked": f"""select {own}, t._q, t._rank, first(t._pos) as _pos, aggregate(array_sort(collect_list(struct(v._v, v._c))),
+            named_struct('upto', first(t._before), 'v', cast(null as double)),
+            (now, x) -> named_struct('upto', now.upto + x._c, 'v', if(now.upto <= t._rank, x._v, now.v)), now -> now.v) as _value
+          from _values v join _found t on {alike} where t._piece is null or {_PIECE} = t._piece group by {own}, t._q, t._rank""",
+        "_ends": f"select {by}{ends} from _walked" + (f" group by {by[:-2]}" if keys else ""),
+        "_result": f"select {by}{between} from _ends",
+    }
+
+
+def sql_of(chain: Mapping[str, str], last: str) -> str:
+    names = list(chain)[:list(chain).index(last) + 1]
+    return "with " + ", ".join(f"{n} as ({chain[n]})" for n in names) + f" select * from {last}"
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], spec: Spec, also: Mapping[str, Column] | None = None,
+                    small: int = SMALL) -> DataFrame:
     """``spec``: output name -> (numeric column, probability). NULL values are left out.
 
     ``also`` holds further aggregates to compute beside the quantiles.
     """
     keys, also = list(keys), dict(also or {})
-    columns = list(dict.fromkeys(c for c, _ in spec.values()))
-    cells = F.array(*(F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)))
-    values = (df.select(*keys, F.explode(cells).alias("_x")).select(*keys, "_x._i", "_x._v").filter(F.col("_v").isNotNull())
-              .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", _slice(F.col("_v"))))
-
-    group = [*keys, "_i"]
-    whole = Window.partitionBy(*group)
-    running = whole.orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slices = values.groupBy(*group, "_s").agg(F.sum("_c").alias("_n")).select(
-        *group, "_s", (F.sum("_n").over(running) - F.col("_n")).alias("_before"), F.sum("_n").over(running).alias("_upto"),
-        F.sum("_n").over(whole).alias("_total"))
-    wanted = F.array(*(F.struct(F.lit(q).alias("_q"), F.lit(columns.index(c)).alias("_of"), F.lit(float(p)).alias("_p"))
-                       for q, (c, p) in enumerate(spec.values())))
-    ranks = slices.withColumn("_w", F.explode(wanted)).filter("_w._of = _i").withColumn("_pos", (F.col("_total") - 1) * F.col("_w._p"))
-    low, high = F.floor("_pos"), F.ceil("_pos")
-    ranks = ranks.filter(((F.col("_before") <= low) & (low < F.col("_upto"))) | ((F.col("_before") <= high) & (high < F.col("_upto"))))
-    names = {k: f"_k{i}" for i, k in enumerate([*group, "_s"])}
-    ranks = ranks.select(*(F.col(k).alias(n) for k, n in names.items()), "_before", "_pos", F.col("_w._q").alias("_q"))
-
-    inside = Window.partitionBy(*group, "_q", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = values.join(ranks, _same([*group, "_s"], names)).withColumn("_to", F.col("_before") + F.sum("_c").over(inside))
-    found = ranked.groupBy(*keys, "_q").agg(
-        F.min(F.when(F.col("_to") > low, F.col("_v"))).alias("_a"), F.min(F.when(F.col("_to") > high, F.col("_v"))).alias("_b"),
-        F.first("_pos").alias("_pos"))
-    value = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise((high - F.col("_pos")) * F.col("_a") + (F.col("_pos") - low) * F.col("_b"))
-    found = found.withColumn("_value", value).groupBy(*keys).agg(
-        *(F.max(F.when(F.col("_q") == q, F.col("_value"))).alias(name) for q, name in enumerate(spec)))
+    columns = list(dict.fromkeys([*keys, *(c for c, _ in spec.values())]))
+    found = df.sparkSession.sql(sql_of(steps(keys, spec, small), "_result"), df=df.select(*columns))
 
     # groups without any value, and the other aggregates
     own = {k: f"_g{i}" for i, k in enumerate(keys)}
     groups = df.groupBy(*keys).agg(*(c.alias(name) for name, c in also.items()), F.count(F.lit(1)).alias("_rows"))
     right = found.select(*(F.col(k).alias(n) for k, n in own.items()), *spec)
-    return groups.join(right, _same(keys, own), "left").select(*keys, *spec, *also)
+    alike = F.lit(True)
+    for k, n in own.items():
+        alike = alike & F.col(k).eqNullSafe(F.col(n))
+    return groups.join(right, alike, "left").select(*keys, *spec, *also)
 
 
 def money_fence(df: DataFrame, column: str, reach: float = 1.5) -> tuple[DataFrame, DataFrame]:

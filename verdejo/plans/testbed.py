@@ -6,6 +6,8 @@ with them. Values are text, as landing delivers them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -177,11 +179,31 @@ def crosswalk(spark: SparkSession, folder: str) -> DataFrame:
         "cast(1100000 + n_nationkey as string) as cod_ibge", "concat('uf divergente: ', n_name) as justificativa")
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    builders = {
+class RawTables(Mapping):
+    """The landed tables of a folder by name; each is planned when it is first asked for."""
+
+    BUILDERS = {
         "pedidos": orders, "itens_pedido": order_items, "pagamentos": payments, "avaliacoes": reviews,
         "produtos": products, "traducao_categorias": translations, "clientes": customers,
         "vendedores": sellers, "geolocalizacao": geolocation, "municipios": municipalities,
         "indicadores": indicators, "de_para": crosswalk,
     }
-    return {name: build(spark, folder) for name, build in builders.items()}
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.planned:
+            self.planned[name] = self.BUILDERS[name](self.spark, self.folder)
+        return self.planned[name]
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self.BUILDERS)
+
+
+def raw_tables(spark: SparkSession, folder: str) -> RawTables:
+    return RawTables(spark, folder)
