@@ -498,6 +498,32 @@ from f_pedido join d_tempo on sk_tempo = sk_tempo_compra join d_geografia on sk_
     "split_score_region": _kpi("SAT-001", "regiao", GEO),
 }
 
+# Keys after two loads: those of orders bought before a day are numbered first, then the others.
+_E = "(select * from s_pedidos where ts_compra < timestamp '1995-01-01')"
+_EARLY = {
+    "dim_cliente": ("customer_unique_id", "s_clientes", f"customer_id in (select customer_id from {_E})"),
+    "dim_produto": ("product_id", "s_produtos", f"product_id in (select product_id from s_itens where order_id in (select order_id from {_E}))"),
+    "dim_vendedor": ("seller_id", "s_vendedores", f"seller_id in (select seller_id from s_itens where order_id in (select order_id from {_E}))"),
+    "dim_geografia": ("cod_ibge", "i_geografia", f"cod_ibge in (select cod_ibge from i_clientes_municipios where customer_id in (select customer_id from {_E}))"),
+    "dim_pagamento": ("tipo_pagamento, quantidade_parcelas", "(select order_id, tipo_pagamento_predominante tipo_pagamento, parcelas_tipo_predominante quantidade_parcelas "
+                      "from s_pagamentos where tipo_pagamento_predominante is not null or parcelas_tipo_predominante is not null)",
+                      f"order_id in (select order_id from {_E})"),
+}
+
+
+def _grown(dim: str) -> str:
+    natural, source, early = _EARLY[dim]
+    empty = ", ".join("null" for _ in natural.split(", "))
+    return (f"select {natural}, cast(row_number() over (order by late, {', '.join(f'{c} nulls last' for c in natural.split(', '))}) as integer) {STAR[dim][1]} "
+            f"from (select {natural}, min(if({early}, 0, 1)) late from {source} group by {natural}) union all select {empty}, 0")
+
+
+for _name, _dim in (("customer", "dim_cliente"), ("product", "dim_produto"), ("payment", "dim_pagamento")):
+    _SQL[f"grown_keys_{_name}"] = _grown(_dim)
+_SQL["key_growth"] = _all(*[
+    f"select '{d}' dimensao, (select count(*) + 1 from (select distinct {n} from {s} where {e})) antes, count(*) + 1 depois, count(*) maior, "
+    f"cast(0 as bigint) alteradas, cast(0 as bigint) repetidas from (select distinct {n} from {s})" for d, (n, s, e) in _EARLY.items()])
+
 _PARTS = ("silver_key_checks", "silver_reference_checks", "silver_grain_checks", "silver_money_checks", "order_rule_checks", "domain_checks",
           "imputation_checks", "geolocation_checks", "integration_key_checks", "match_checks", "crosswalk_checks", "distance_checks",
           "indicator_checks")

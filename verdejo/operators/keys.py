@@ -28,6 +28,35 @@ def dense_ids(df: DataFrame, order: Sequence[str], name: str, ws: Workspace, sta
         (F.col("_shift") + F.col("_row") + start).cast("int").alias(name), *df.columns)
 
 
+def lasting_ids(df: DataFrame, natural: Sequence[str], name: str, ws: Workspace, published: DataFrame | None = None) -> DataFrame:
+    """Numbers that stay when the data grow: rows found in ``published(natural..., name)`` keep their number, the others follow the highest.
+
+    ``natural`` is unique in both; its values may be null. Without ``published`` this is ``dense_ids``. A published
+    number is never given again, also when its row is gone, so ``published`` has to hold all numbers ever given.
+    """
+    if published is None:
+        return dense_ids(df, natural, name, ws)
+    old = {c: f"_known{i}" for i, c in enumerate(natural)}
+    known = published.select(*(F.col(c).alias(o) for c, o in old.items()), F.col(name).alias(name))
+    same = F.lit(True)
+    for c, o in old.items():
+        same = same & F.col(c).eqNullSafe(F.col(o))
+    # Written once, so that the kept and the new rows come from one reading.
+    met = ws.keep(f"known-{name}", df.join(known, same, "left").select(F.col(name), *df.columns))
+    last = published.agg(F.max(name)).first()[0] or 0
+    fresh = dense_ids(met.filter(F.col(name).isNull()).drop(name), natural, name, ws, last + 1)
+    return met.filter(F.col(name).isNotNull()).unionByName(fresh)
+
+
+def all_ids(df: DataFrame, natural: Sequence[str], name: str, published: DataFrame | None = None) -> DataFrame:
+    """The numbers ever given: the published ones and those of new rows."""
+    now = df.select(*natural, name).filter(F.col(name) > 0)
+    if published is None:
+        return now
+    known = published.select(F.col(name).alias("_taken"))
+    return published.select(*natural, name).unionByName(now.join(known, F.col(name) == F.col("_taken"), "left_anti"))
+
+
 def file_record_numbers(scan: DataFrame, name: str) -> DataFrame:
     """1..N per file in file order, for a scan of any layout: many files, equal base names, split files.
 

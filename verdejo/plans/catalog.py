@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ..operators import checks as C
 from ..operators.quantiles import money_fence
 from ..operators.signature import key_changes, signature
 from ..sources import indicators, landing
-from . import gold, gold_quality, integration, kpis, panel, quality, silver, testbed
+from . import gold, gold_quality, growth, integration, kpis, panel, quality, silver, testbed
 from .warehouse import open_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ TAG = "loja"
 LANDED = ("orders", "lineitem", "customer", "supplier", "part", "events")
 PERIOD = ("1995-06-01", "2000-06-30")
 STATE = "R1"
+EARLY = date(1995, 1, 1)  # an earlier load has seen the orders bought before
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -222,6 +223,9 @@ QUERIES: dict[str, Query] = {
     "star_match_coverage": _on(gold_quality.match_coverage, "contract"),
     "star_signatures": _on(gold_quality.signatures, "gold"),
     "key_stability": _key_stability,
+    "key_growth": _star(lambda s, ws: growth.growth(s, ws, EARLY)),
+    **{f"grown_keys_{name}": _star(lambda s, ws, d=d: growth.grown_keys(s, ws, EARLY, d)) for name, d in (
+        ("customer", "dim_cliente"), ("product", "dim_produto"), ("payment", "dim_pagamento"))},
     # profiles
     "distance_profile": _on(gold_quality.distance_profile, "gold"),
     "freight_profile": _on(lambda s: gold_quality.freight_profile(s["itens_pedido"]), "silver"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators.integrity import one_sided, orphans
-from ..operators.keys import dense_ids
+from ..operators.keys import all_ids, lasting_ids
 from ..session import Workspace, together
 from .silver import DELIVERED, SIZE_MISSING
 
@@ -32,6 +32,12 @@ KEYS = {
     "dim_vendedor": ("sk_vendedor",), "dim_geografia": ("sk_geografia",), "dim_pagamento": ("sk_pagamento",),
     "fato_pedido": ("order_id",), "fato_item_pedido": ("order_id", "order_item_id"),
 }
+#: What a dimension's keys are given to; the numbers ever given are published beside it.
+NATURAL = {
+    "dim_tempo": ("data_completa",), "dim_cliente": ("customer_unique_id",), "dim_produto": ("product_id",),
+    "dim_geografia": ("cod_ibge",), "dim_vendedor": ("seller_id",), "dim_pagamento": ("tipo_pagamento", "quantidade_parcelas"),
+}
+KEY_MAPS = {f"chaves_{dim}": dim for dim in NATURAL}
 # (fact, foreign key, dimension, key)
 FOREIGN_KEYS = tuple(
     (fact, fk, dim, KEYS[dim][0])
@@ -54,8 +60,12 @@ def with_unknown(dim: DataFrame, key: str, **labels: str) -> DataFrame:
     return dim.unionByName(row)
 
 
-def calendar(orders: DataFrame, first: date = CALENDAR_FROM, last: date = CALENDAR_TO) -> DataFrame:
-    """One row per day over the fixed range, widened by the purchase and delivery days found."""
+def _ids(rows: DataFrame, dim: str, ws: Workspace, known: Tables | None) -> DataFrame:
+    return lasting_ids(rows, NATURAL[dim], KEYS[dim][0], ws, (known or {}).get(dim))
+
+
+def calendar(orders: DataFrame, first: date = CALENDAR_FROM, last: date = CALENDAR_TO, known: DataFrame | None = None, ws: Workspace | None = None) -> DataFrame:
+    """One row per day over the fixed range, widened by the purchase and delivery days found. Known days keep their keys."""
     bought, came = F.to_date("ts_compra"), F.to_date("ts_entrega_cliente")
     limits = orders.agg(
         F.least(F.lit(first), F.min(bought), F.min(came)).alias("_from"),
@@ -70,16 +80,18 @@ def calendar(orders: DataFrame, first: date = CALENDAR_FROM, last: date = CALEND
         F.element_at(F.array(*map(F.lit, MONTHS)), F.month(day)).alias("nome_mes"),
         F.quarter(day).alias("trimestre"), F.year(day).alias("ano"), S.month_label(day).alias("ano_mes"),
         (weekday >= 6).alias("fim_de_semana"))
+    if known is not None:
+        dim = lasting_ids(dim.drop("sk_tempo"), NATURAL["dim_tempo"], "sk_tempo", ws, known)
     n = S.NOT_INFORMED
     return with_unknown(dim, "sk_tempo", nome_dia_semana=n, nome_mes=n, ano_mes=n)
 
 
-def dim_customer(s: Tables, ws: Workspace) -> DataFrame:
+def dim_customer(s: Tables, ws: Workspace, known: Tables | None = None) -> DataFrame:
     people = s["clientes"].select("customer_unique_id").distinct()
-    return with_unknown(dense_ids(people, ["customer_unique_id"], "sk_cliente", ws), "sk_cliente")
+    return with_unknown(_ids(people, "dim_cliente", ws, known), "sk_cliente")
 
 
-def dim_product(s: Tables, ws: Workspace) -> DataFrame:
+def dim_product(s: Tables, ws: Workspace, known: Tables | None = None) -> DataFrame:
     rows = s["produtos"].select(
         "product_id", F.col("categoria_produto").alias("categoria_pt"),
         F.col("categoria_produto_ingles").alias("categoria_en"), F.col("peso_g").alias("peso_gramas"),
@@ -89,20 +101,20 @@ def dim_product(s: Tables, ws: Workspace) -> DataFrame:
         F.col("flag_peso_imputado").alias("peso_imputado"),
         F.col("flag_dimensoes_imputadas").alias("dimensoes_imputadas"), "flag_categoria_sem_traducao")
     n = S.NOT_INFORMED
-    return with_unknown(dense_ids(rows, ["product_id"], "sk_produto", ws), "sk_produto",
+    return with_unknown(_ids(rows, "dim_produto", ws, known), "sk_produto",
                         categoria_pt=n, categoria_en=n, faixa_peso=n)
 
 
-def dim_geography(s: Tables, ws: Workspace) -> DataFrame:
+def dim_geography(s: Tables, ws: Workspace, known: Tables | None = None) -> DataFrame:
     rows = s["geografia_integrada"].select(
         "cod_ibge", "municipio", "uf", "nome_uf", "regiao", "populacao_estimada", "pib_per_capita",
         "porte_municipio", "ano_referencia_indicadores", "latitude_representativa", "longitude_representativa")
     n = S.NOT_INFORMED
-    return with_unknown(dense_ids(rows, ["cod_ibge"], "sk_geografia", ws), "sk_geografia",
+    return with_unknown(_ids(rows, "dim_geografia", ws, known), "sk_geografia",
                         municipio=n, uf=n, nome_uf=n, regiao=n, porte_municipio=SIZE_MISSING)
 
 
-def dim_seller(s: Tables, ws: Workspace) -> DataFrame:
+def dim_seller(s: Tables, ws: Workspace, known: Tables | None = None) -> DataFrame:
     how = s["vendedores_municipios"].select(F.col("seller_id").alias("_s"), "cod_ibge", "metodo_match")
     place = s["geografia_integrada"].select(F.col("cod_ibge").alias("_c"), F.col("uf").alias("_uf"), "municipio", "regiao")
     rows = (s["vendedores"].join(how, F.col("seller_id") == F.col("_s"))
@@ -111,28 +123,29 @@ def dim_seller(s: Tables, ws: Workspace) -> DataFrame:
                     F.col("municipio").alias("municipio_ibge"), "regiao",
                     F.col("metodo_match").alias("metodo_match_municipio")))
     n = S.NOT_INFORMED
-    return with_unknown(dense_ids(rows, ["seller_id"], "sk_vendedor", ws), "sk_vendedor",
+    return with_unknown(_ids(rows, "dim_vendedor", ws, known), "sk_vendedor",
                         cidade=n, uf=n, municipio_ibge=n, regiao=n, metodo_match_municipio=UNRESOLVED)
 
 
-def dim_payment(s: Tables, ws: Workspace) -> DataFrame:
+def dim_payment(s: Tables, ws: Workspace, known: Tables | None = None) -> DataFrame:
     kind, count = F.col("tipo_pagamento_predominante"), F.col("parcelas_tipo_predominante")
     pairs = (s["pagamentos"].filter(kind.isNotNull() | count.isNotNull())
              .select(kind.alias("tipo_pagamento"), count.alias("quantidade_parcelas")).distinct()
              .withColumn("faixa_parcelas", S.band("quantidade_parcelas", INSTALMENT_STEPS, INSTALMENT_ABOVE,
                                                   S.NOT_INFORMED, floor=1)))
-    ids = dense_ids(pairs, ["tipo_pagamento", "quantidade_parcelas"], "sk_pagamento", ws)
+    ids = _ids(pairs, "dim_pagamento", ws, known)
     return with_unknown(ids, "sk_pagamento", faixa_parcelas=S.NOT_INFORMED)
 
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def build_dimensions(s: Tables, ws: Workspace, keep: Keep) -> Tables:
+def build_dimensions(s: Tables, ws: Workspace, keep: Keep, known: Tables | None = None) -> Tables:
+    days = (known or {}).get("dim_tempo")
     builders = {
-        "dim_tempo": lambda: calendar(s["pedidos"]), "dim_cliente": lambda: dim_customer(s, ws),
-        "dim_produto": lambda: dim_product(s, ws), "dim_geografia": lambda: dim_geography(s, ws),
-        "dim_vendedor": lambda: dim_seller(s, ws), "dim_pagamento": lambda: dim_payment(s, ws),
+        "dim_tempo": lambda: calendar(s["pedidos"], known=days, ws=ws), "dim_cliente": lambda: dim_customer(s, ws, known),
+        "dim_produto": lambda: dim_product(s, ws, known), "dim_geografia": lambda: dim_geography(s, ws, known),
+        "dim_vendedor": lambda: dim_seller(s, ws, known), "dim_pagamento": lambda: dim_payment(s, ws, known),
     }
     return dict(zip(builders, together(lambda d: keep(d, builders[d]()), builders)))
 
@@ -266,9 +279,14 @@ def require_references(s: Tables) -> None:
         raise ValueError("referencias inexistentes: " + "; ".join(f"{r.regra}: {r.encontrado}" for r in bad))
 
 
-def build(s: Tables, ws: Workspace, keep: Keep | None = None) -> Tables:
-    """Writes every table once through ``keep``; facts read the dimensions as written."""
+def build(s: Tables, ws: Workspace, keep: Keep | None = None, known: Tables | None = None) -> Tables:
+    """Writes every table once through ``keep``; facts read the dimensions as written.
+
+    ``known`` holds, by dimension, the keys ever given; their members keep them. The key maps are written beside the star.
+    """
     keep = keep or ws.keep
-    dims = build_dimensions(s, ws, keep)
+    dims = build_dimensions(s, ws, keep, known)
+    maps = dict(zip(KEY_MAPS, together(lambda m: keep(m, all_ids(
+        dims[KEY_MAPS[m]], NATURAL[KEY_MAPS[m]], KEYS[KEY_MAPS[m]][0], (known or {}).get(KEY_MAPS[m]))), KEY_MAPS)))
     orders = keep("fato_pedido", fact_orders(order_context(s, dims), s["itens_pedido"]))
-    return {**dims, "fato_pedido": orders, "fato_item_pedido": keep("fato_item_pedido", fact_items(s, dims, orders))}
+    return {**dims, **maps, "fato_pedido": orders, "fato_item_pedido": keep("fato_item_pedido", fact_items(s, dims, orders))}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -35,7 +35,7 @@ def base(gold: Tables, start: str, end: str, state: str = ALL) -> DataFrame:
     """Orders bought between two days (both included), optionally of one state."""
     first, last = date.fromisoformat(start), date.fromisoformat(end)
     if first > last:
-        raise ValueError("A data inicial deve ser anterior ou igual à data final.")
+        raise ValueError(f"periodo invertido: {start} vem depois de {end}")
     days = gold["dim_tempo"].filter(F.col("data_completa").between(F.lit(first), F.lit(last))).select(
         F.col("sk_tempo").alias("sk_tempo_compra"), "data_completa", "ano_mes")
     places = gold["dim_geografia"].select(F.col("sk_geografia").alias("sk_geo_cliente"), "uf", "porte_municipio")
@@ -44,7 +44,8 @@ def base(gold: Tables, start: str, end: str, state: str = ALL) -> DataFrame:
     return (gold["fato_pedido"].join(F.broadcast(days), "sk_tempo_compra").join(places, "sk_geo_cliente"))
 
 
-def summary(orders: DataFrame) -> DataFrame:
+def summary(orders: DataFrame | GroupedData, *more: Column) -> DataFrame:
+    """The cards' sums over all orders, or over each group of a grouping; ``more`` are further aggregates."""
     done, late, score = _done(), F.col("flag_atraso"), F.col("nota_avaliacao")
 
     def gated(c: str):
@@ -62,7 +63,7 @@ def summary(orders: DataFrame) -> DataFrame:
         F.round(S.mean(score), 6).alias("nota"), F.count(score).alias("avaliados"),
         F.round(S.percent(F.count_if(score >= 4), F.count(score)), 6).alias("positivas"),
         F.round(S.percent(F.count_if(score <= 2), F.count(score)), 6).alias("negativas"),
-        F.round(S.percent(F.count(score), F.count(F.lit(1))), 6).alias("cobertura"))
+        F.round(S.percent(F.count(score), F.count(F.lit(1))), 6).alias("cobertura"), *more)
 
 
 def delivered_items(orders: DataFrame, items: DataFrame, *columns: str) -> DataFrame:
@@ -149,26 +150,89 @@ PANELS = {
 }
 
 
-def _spoken(c: str):
-    return F.when(F.col(c) == S.NOT_INFORMED, "Não informado").otherwise(F.replace(c, F.lit("_"), F.lit(" ")))
+def _spoken(name: Column) -> Column:
+    return F.when(name == S.NOT_INFORMED, "Não informado").otherwise(F.replace(name, F.lit("_"), F.lit(" ")))
+
+
+#: What the charts group orders by; the empty set is the whole period.
+_SETS = ("ano_mes", "porte_municipio", "uf", "nota_avaliacao", "flag_atraso")
+# chart -> (set, value, base) over the sums of ``_order_sums``
+_FROM_SUMS = {
+    "mensal": ("ano_mes", "valor_entregue", "entregues"), "porte": ("porte_municipio", "ticket", "base_ticket"),
+    "atraso_uf": ("uf", "atraso", "base_atraso"), "prazo_mensal": ("ano_mes", "prazo", "base_prazo"),
+    "notas": ("nota_avaliacao", "pedidos_filtrados", "pedidos_filtrados"), "nota_atraso": ("flag_atraso", "nota_entregue", "base_nota_entregue"),
+}
+
+
+def _order_sums(orders: DataFrame) -> DataFrame:
+    """The sums of ``summary`` for the whole period and for each group of each chart, from one reading of the orders."""
+    sets = orders.groupingSets([[], *([c] for c in _SETS)], *_SETS)
+    gated = F.when(_done(), F.col("nota_avaliacao"))
+    return summary(sets, F.grouping_id().alias("_set"), F.round(S.mean(gated), 6).alias("nota_entregue"), F.count(gated).alias("base_nota_entregue"))
+
+
+def _set_id(of: str | None) -> int:
+    """What grouping_id is for one of the sets: a bit for each column that it leaves out."""
+    return sum(1 << (len(_SETS) - 1 - i) for i, c in enumerate(_SETS) if c != of)
+
+
+def _row(panel: str, section: str, group: Column, value: Column, base: Column, when: Column) -> Column:
+    return F.when(when, F.struct(
+        F.lit(panel).alias("painel"), F.lit(section).alias("secao"), group.alias("grupo"),
+        F.round(value.cast("double"), 6).alias("valor"), base.cast("bigint").alias("base")))
+
+
+def _order_rows(orders: DataFrame, panels) -> DataFrame:
+    here = F.col("_set")
+    label = {
+        "nota_avaliacao": F.concat(F.col("nota_avaliacao").cast("string"), F.lit(" estrelas")),
+        "flag_atraso": F.when(F.col("flag_atraso"), "Com atraso").otherwise("No prazo")}
+    rows = []
+    for p in panels:
+        cards, charts = PANELS[p]
+        rows += [_row(p, "KPI", F.lit(name), F.col(v), F.col(b) if b else F.lit(None), here == _set_id(None))
+                 for name, v, b in cards if v != "distancia"]
+        for key, title in charts:
+            if key in _FROM_SUMS:
+                of, v, b = _FROM_SUMS[key]
+                # An attribute that is unknown is a bar only where the chart shows all orders of a kind.
+                there = F.col("entregues" if key in ("mensal", "porte") else b) > 0
+                named = F.lit(True) if key in ("mensal", "porte", "atraso_uf", "prazo_mensal") else F.col(of).isNotNull()
+                rows.append(_row(p, title, _spoken(label.get(of, F.col(of))), F.col(v), F.col(b), (here == _set_id(of)) & there & named))
+    return _order_sums(orders).select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+
+
+def _item_rows(orders: DataFrame, gold: Tables, panels) -> DataFrame:
+    """Distance of all items and the best categories, from one reading of the items: the total and ten names."""
+    items = delivered_items(orders, gold["fato_item_pedido"], "sk_produto", "valor_total_item", "distancia_km")
+    per_product = items.groupBy("sk_produto").agg(
+        F.sum("valor_total_item").alias("_v"), F.count(F.lit(1)).alias("_n"), F.sum("distancia_km").alias("_d"), F.count("distancia_km").alias("_dn"))
+    names = gold["dim_produto"].select("sk_produto", F.col("categoria_pt").alias("nome"))
+    sums = per_product.join(names, "sk_produto").groupingSets([[], ["nome"]], "nome").agg(
+        F.grouping_id().alias("_set"), S.money(F.sum("_v")).alias("_v"), F.sum("_n").alias("_n"),
+        (F.sum("_d") / F.nullif(F.sum("_dn"), F.lit(0))).alias("_d"), F.coalesce(F.sum("_dn"), F.lit(0)).alias("_dn"))
+    best = sums.orderBy(F.col("_set").desc(), F.col("_v").desc_nulls_last(), F.col("nome").asc_nulls_last()).limit(TOP + 1)
+    rows = []
+    for p in panels:
+        cards, charts = PANELS[p]
+        rows += [_row(p, "KPI", F.lit(name), F.col("_d"), F.col("_dn"), F.col("_set") == 1) for name, v, _ in cards if v == "distancia"]
+        rows += [_row(p, title, _spoken(F.col("nome")), F.col("_v"), F.col("_n"), F.col("_set") == 0) for key, title in charts if key == "categorias"]
+    return best.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
 
 
 def export(gold: Tables, start: str, end: str, state: str = ALL, panels=tuple(PANELS)) -> DataFrame:
-    """Cards and chart rows of the panels as one long table (painel, secao, grupo, valor, base)."""
+    """Cards and chart rows of the panels as one long table (painel, secao, grupo, valor, base).
+
+    All cards and charts over orders come from one grouping by several sets at once, all over items from another, so
+    orders are read once with their measures (and once more for the ids that choose the items), items once.
+    """
     orders = base(gold, start, end, state)
-    cards = summary(orders).crossJoin(distance(orders, gold))  # one row each
-    shown = [(p, *card) for p in panels for card in PANELS[p][0]]
-    cells = F.array(*[F.struct(
-        F.lit(p).alias("painel"), F.lit("KPI").alias("secao"), F.lit(label).alias("grupo"),
-        F.round(F.col(value).cast("double"), 6).alias("valor"),
-        (F.col(b) if b else F.lit(None)).cast("bigint").alias("base")) for p, label, value, b in shown])
-    out = cards.select(F.inline(cells))
-    for p in panels:
-        for key, title in PANELS[p][1]:
-            rows = CHARTS[key](orders, gold)
-            out = out.unionByName(rows.select(
-                F.lit(p).alias("painel"), F.lit(title).alias("secao"), _spoken("nome").alias("grupo"),
-                F.round(F.col("valor").cast("double"), 6).alias("valor"), F.col("base").cast("bigint").alias("base")))
+    parts = [_order_rows(orders, panels)]
+    if any(key == "categorias" for p in panels for key, _ in PANELS[p][1]) or any(v == "distancia" for p in panels for _, v, _ in PANELS[p][0]):
+        parts.append(_item_rows(orders, gold, panels))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 

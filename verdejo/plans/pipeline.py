@@ -33,7 +33,9 @@ def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | No
     if problems:
         raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
     gold.require_references(tables)
-    results = publish.publish(spark, root, lambda keep: gold.build(tables, ws, keep),
+    # Members that an earlier version has numbered keep their keys.
+    known = {dim: df for m, df in publish.published_if_any(spark, root, gold.KEY_MAPS).items() for dim in [gold.KEY_MAPS[m]]}
+    results = publish.publish(spark, root, lambda keep: gold.build(tables, ws, keep, known),
                               check=lambda written: gold_quality.analyse(written, tables))
     done = publish.read_published(spark, root, gold.KEYS)
     publish.write_report(results, root, "Qualidade da Gold", {

@@ -179,7 +179,7 @@ def crosswalk(spark: SparkSession, folder: str) -> DataFrame:
         "cast(1100000 + n_nationkey as string) as cod_ibge", "concat('uf divergente: ', n_name) as justificativa")
 
 
-class RawTables(Mapping):
+class RawTables(Mapping):  # names are fixed, tables may be put in the place of others
     """The landed tables of a folder by name; each is planned when it is first asked for."""
 
     BUILDERS = {
@@ -198,6 +198,9 @@ class RawTables(Mapping):
             self.planned[name] = self.BUILDERS[name](self.spark, self.folder)
         return self.planned[name]
 
+    def __setitem__(self, name: str, table: DataFrame) -> None:
+        self.planned[name] = table
+
     def __iter__(self):
         return iter(self.BUILDERS)
 

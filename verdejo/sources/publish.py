@@ -54,6 +54,13 @@ def read_published(spark: SparkSession, root: str, tables) -> dict[str, DataFram
     return {t: spark.read.parquet(f"{root}/version={version}/{t}") for t in tables}
 
 
+def published_if_any(spark: SparkSession, root: str, tables) -> dict[str, DataFrame]:
+    """Those of the tables that the current version holds; none before the first publication."""
+    version = current_version(spark, root)
+    paths = {t: f"{root}/version={version}/{t}" for t in tables} if version else {}
+    return {t: spark.read.parquet(path) for t, path in paths.items() if exists(spark, path)}
+
+
 Keep = Callable[[str, DataFrame], DataFrame]
 Build = Callable[[Keep], Mapping[str, DataFrame]]
 
