@@ -81,11 +81,42 @@ SHAPES = {
 }
 
 
+STAR_COLUMNS = {
+    "dim_tempo": "sk_tempo data_completa dia nome_dia_semana numero_dia_semana semana_ano mes nome_mes trimestre ano ano_mes fim_de_semana",
+    "dim_produto": "sk_produto product_id categoria_pt categoria_en peso_gramas comprimento_cm altura_cm largura_cm volume_cm3 faixa_peso peso_imputado "
+                   "dimensoes_imputadas flag_categoria_sem_traducao",
+    "dim_cliente": "sk_cliente customer_unique_id",
+    "dim_vendedor": "sk_vendedor seller_id cidade uf cod_ibge municipio_ibge regiao metodo_match_municipio",
+    "dim_geografia": "sk_geografia cod_ibge municipio uf nome_uf regiao populacao_estimada pib_per_capita porte_municipio ano_referencia_indicadores "
+                     "latitude_representativa longitude_representativa",
+    "dim_pagamento": "sk_pagamento tipo_pagamento quantidade_parcelas faixa_parcelas",
+    "fato_pedido": "order_id sk_tempo_compra sk_tempo_entrega sk_cliente sk_geo_cliente sk_pagamento status_pedido quantidade_itens quantidade_vendedores "
+                   "quantidade_produtos valor_produtos valor_frete valor_total_pedido valor_total_pago dias_ate_entrega dias_atraso flag_atraso nota_avaliacao "
+                   "flag_entregue flag_possui_avaliacao flag_entrega_ausente metodo_match_municipio",
+    "fato_item_pedido": "order_id order_item_id sk_tempo_compra sk_tempo_entrega sk_produto sk_cliente sk_vendedor sk_geo_cliente sk_pagamento valor_produto "
+                        "valor_frete valor_total_item dias_ate_entrega dias_atraso flag_atraso distancia_km nota_avaliacao flag_outlier_frete faixa_preco "
+                        "flag_distancia_calculada motivo_distancia_ausente",
+}
+
+
+def _sums(table: str, columns: list[str]) -> str:
+    """Row count and four sums of 60 bits over SHA-256 digests of the rows' texts; doubles as decimals of six places."""
+    cells = " || ".join(f"coalesce(octet_length(encode(t{i})) || ':' || t{i}, '-')" for i in range(len(columns)))
+    texts = ", ".join(f"if(typeof({c}) = 'DOUBLE', cast(try_cast({c} as decimal(38,6)) as varchar), cast({c} as varchar)) t{i}" for i, c in enumerate(columns))
+    sums = ", ".join(f"cast(coalesce(sum(cast(cast('0x' || substr(h, {1 + 15 * i}, 15) as bigint) as hugeint)), 0) as varchar) s{i + 1}" for i in range(4))
+    return f"select count(*) linhas, {sums} from (select sha256({cells}) h from (select {texts} from {table}))"
+
+
 def _signature(name: str) -> str:
     table, columns = SHAPES[name]
-    cells = ", ".join(f"coalesce('{i}=' || {c}, '{i}~')" for i, c in enumerate(columns.split()))
-    return (f"select '{name}' tabela, count(*) linhas, cast(sum(cast(h as hugeint)) as varchar) soma, bit_xor(h) xor from "
-            f"(select cast('0x' || substr(md5(concat_ws(chr(31), {cells})), 1, 15) as bigint) h from {table})")
+    return f"select '{name}' tabela, * from ({_sums(table, columns.split())})"
+
+
+def _star_signature(name: str) -> str:
+    table, columns = STAR[name][0], STAR_COLUMNS[name].split()
+    kinds = " || ',' || ".join(f"'{c}:' || case typeof(any_value({c})) when 'INTEGER' then 'int' when 'VARCHAR' then 'string' else lower(typeof(any_value({c}))) end"
+                               for c in columns)
+    return f"select '{name}' tabela, *, (select md5({kinds}) from {table}) esquema from ({_sums(table, columns)})"
 
 
 _ABSENT = "('', '-', '..', '...', 'X', 'x')"
@@ -288,7 +319,7 @@ _SQL: dict[str, str] = {
     "landed_shape_checks": _all(*[_fixed(f"BRZ-EST-{i:03d}", 0, 0) for i in (2, 3, 4)]),
     "landed_content_checks": _all(*[_check(f"BRZ-{k}.{t}", _rows(t, "false")) for t in LANDED for k in ("EST-005", "LIN-002", "LIN-001")]),
     "indicator_consolidation": CONSOLIDATED,
-    "source_signatures": _all(*[_signature(t) for t in SHAPES]),
+    "source_signatures": _all(*[_signature(t) for t in SHAPES]), "merged_signatures": _all(*[_signature(t) for t in SHAPES]),
     "clean_orders": "select * from s_pedidos", "clean_items": "select * from s_itens", "clean_payments": "select * from s_pagamentos",
     "clean_reviews": "select * from s_avaliacoes", "clean_products": "select * from s_produtos", "clean_customers": "select * from s_clientes",
     "clean_sellers": "select * from s_vendedores", "geo_points": "select * from s_pontos",
@@ -524,6 +555,8 @@ _SQL["key_growth"] = _all(*[
     f"select '{d}' dimensao, (select count(*) + 1 from (select distinct {n} from {s} where {e})) antes, count(*) + 1 depois, count(*) maior, "
     f"cast(0 as bigint) alteradas, cast(0 as bigint) repetidas from (select distinct {n} from {s})" for d, (n, s, e) in _EARLY.items()])
 
+_SQL["star_signatures"] = _all(*[_star_signature(t) for t in STAR])
+
 _PARTS = ("silver_key_checks", "silver_reference_checks", "silver_grain_checks", "silver_money_checks", "order_rule_checks", "domain_checks",
           "imputation_checks", "geolocation_checks", "integration_key_checks", "match_checks", "crosswalk_checks", "distance_checks",
           "indicator_checks")

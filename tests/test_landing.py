@@ -182,3 +182,49 @@ def test_a_failed_landing_keeps_the_earlier_table(spark, tmp_path, monkeypatch):
     with pytest.raises(landing.CountMismatch):
         landing.land(spark, [source], root, ws, NOW)
     assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 1
+
+
+def test_a_crash_leaves_the_earlier_manifest_and_table(spark, tmp_path, monkeypatch):
+    path = tmp_path / "orders.csv"
+    path.write_text("a,b\n1,2\n")
+    source, root, ws = landing.Source("pedidos", str(path), "loja", ""), str(tmp_path / "bronze"), Workspace(spark)
+    landing.land(spark, [source], root, ws, NOW)
+    before = landing.load_manifest(spark, root).collect()
+    path.write_text("a,b\n1,2\n3,4\n")
+
+    def crash(*_):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(landing, "put_text", crash)
+        with pytest.raises(KeyboardInterrupt):
+            landing.land(spark, [source], root, ws, LATER)
+    assert landing.load_manifest(spark, root).collect() == before
+    assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 1
+    open_reader = landing.landed_tables(spark, root, ["pedidos"])["pedidos"]
+    landing.land(spark, [source], root, ws, LATER)
+    assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 2 and open_reader.count() == 1
+    landing.land(spark, [source], root, ws, LATER)
+    assert len(list((tmp_path / "bronze" / "pedidos").iterdir())) == 2
+
+
+def test_rows_do_not_move_while_landing(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a\n" + "\n".join(map(str, range(2000))) + "\n")
+    df = landing.read_text_csv(spark, str(path))
+    ws = Workspace(spark)
+    blocks = ws.keep("blocks", landing.file_blocks(df.select("*", F.col("_metadata"))))
+    plan = landing.with_lineage(df, "loja", NOW, blocks)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_old_versions_go(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    df = spark.createDataFrame([("a",)], "k string")
+    for _ in range(4):
+        publish.publish(spark, root, {"t": df})
+    with pytest.raises(RuntimeError):
+        publish.publish(spark, root, {"t": df}, before_switch=lambda: (_ for _ in ()).throw(RuntimeError()))
+    now = publish.current_version(spark, root)
+    publish.publish(spark, root, {"t": df})
+    left = {p.name for p in (tmp_path / "pub").iterdir() if p.name.startswith("version=")}
+    assert len(left) == 2 and f"version={now}" in left and f"version={publish.current_version(spark, root)}" in left

@@ -15,11 +15,11 @@ from verdejo.functions.text import normal_form, tight_key
 from verdejo.operators import matching
 from verdejo.operators.impute import impute_medians
 from verdejo.operators.integrity import one_sided, orphans, repeated
-from verdejo.operators.keys import dense_ids
+from verdejo.operators.keys import all_ids, dense_ids, lasting_ids
 from verdejo.operators.picks import dominant, latest, most_frequent
 from verdejo.operators import quantiles
 from verdejo.operators.quantiles import group_quantiles, money_fence
-from verdejo.operators.signature import key_changes, signature
+from verdejo.operators.signature import key_changes, merged, signature
 from verdejo.session import Workspace
 
 
@@ -186,6 +186,23 @@ def test_bands_sums_and_days(spark):
     assert got == ["nada", "nada", "1", "2_3", "mais"]
 
 
+def test_lasting_ids(spark):
+    ws = Workspace(spark)
+
+    def rows(*names):
+        return spark.createDataFrame([(n, n and n.upper()) for n in names], "n string, label string")
+
+    first = lasting_ids(rows("m", "x", None), ["n"], "k", ws)
+    assert {r.n: r.k for r in first.collect()} == {"m": 1, "x": 2, None: 3}
+    taken = all_ids(first, ["n"], "k")
+    # an earlier name, a later one, and "x" is gone
+    second = lasting_ids(rows("a", "m", None, "z"), ["n"], "k", ws, taken)
+    assert {r.n: (r.k, r.label) for r in second.collect()} == {"m": (1, "M"), None: (3, None), "a": (4, "A"), "z": (5, "Z")}
+    # a number that is free again is not given again; "x" comes back to its own
+    third = lasting_ids(rows("x", "b"), ["n"], "k", ws, all_ids(second, ["n"], "k", taken))
+    assert {r.n: r.k for r in third.collect()} == {"x": 2, "b": 6}
+
+
 def test_integrity_and_signature(spark):
     a = spark.createDataFrame([("1", "x"), ("2", None), ("3", "y"), ("3", "y")], "id string, fk string")
     b = spark.createDataFrame([("x",)], "pk string")
@@ -196,6 +213,12 @@ def test_integrity_and_signature(spark):
     assert first == signature(a.orderBy(F.desc("id")).repartition(3), "t").first()
     assert first != signature(a.fillna(""), "t").first() and first != signature(a.distinct(), "t").first()
     assert signature(a.filter("false"), "t").first().linhas == 0
+    parts = merged(signature(a.filter("id < '3'"), "t"), signature(a.filter("id >= '3'"), "t")).first()
+    assert parts == first and merged(signature(a.filter("false"), "t"), signature(a, "t")).first() == first
+    apart = spark.createDataFrame([("1:a", "b")], "a string, b string"), spark.createDataFrame([("1", "a1:b")], "a string, b string")
+    assert signature(apart[0], "t").first() != signature(apart[1], "t").first()
+    doubles = spark.createDataFrame([(1.5, None), (float("nan"), 1e300), (-0.0, 2.0)], "v double, w double")
+    assert signature(doubles, "d").first().s1 == signature(doubles.replace(-0.0, 0.0), "d").first().s1
     x = spark.createDataFrame([("a", 1), ("b", 2), (None, 0)], "n string, s int")
     y = spark.createDataFrame([("a", 1), ("b", 3), (None, 0), ("c", 4)], "n string, s int")
     assert {tuple(r) for r in key_changes(x, y, "n", "s").collect()} == {("b", 2, 3), ("c", None, 4)}

@@ -171,3 +171,21 @@ def test_panel_dates_and_export(spark, loaded, tmp_path):
 def test_layer_checks_report_a_missing_table(spark):
     got = quality.cleaned({}, {"pedidos": tables(spark, {})["pedidos"]}).collect()
     assert got[0].status == C.FAILED and got[1].status == C.SKIPPED
+
+
+def test_keys_stay_when_an_earlier_member_comes(spark, tmp_path):
+    rows, root = case(), str(tmp_path)
+    pipeline.load_star(spark, tables(spark, rows), root)
+    before = publish.read_published(spark, root, [*gold.KEYS, *gold.KEY_MAPS])
+    old = {d: {tuple(r[c] for c in gold.NATURAL[d]): r[gold.KEYS[d][0]] for r in before[d].collect()} for d in gold.NATURAL}
+    rows["clientes"].append(dict(customer_id="c0", customer_unique_id="abel", uf="SP"))
+    rows["clientes_municipios"].append(dict(customer_id="c0", metodo_match="nao_resolvido", motivo_nao_match="x"))
+    rows["produtos"].append({**rows["produtos"][0], "product_id": "aa"})
+    rows["pedidos"][0]["ts_compra"] = datetime(2015, 12, 30)  # the calendar grows at its start
+    pipeline.load_star(spark, tables(spark, rows), root)
+    after = publish.read_published(spark, root, [*gold.KEYS, *gold.KEY_MAPS])
+    for d in gold.NATURAL:
+        now = {tuple(r[c] for c in gold.NATURAL[d]): r[gold.KEYS[d][0]] for r in after[d].collect()}
+        assert all(now[n] == k for n, k in old[d].items()) and len(set(now.values())) == len(now), d
+    assert {r.customer_unique_id: r.sk_cliente for r in after["dim_cliente"].collect()}["abel"] == max(old["dim_cliente"].values()) + 1
+    assert after["chaves_dim_cliente"].count() == before["chaves_dim_cliente"].count() + 1

@@ -57,19 +57,30 @@ def all_ids(df: DataFrame, natural: Sequence[str], name: str, published: DataFra
     return published.select(*natural, name).unionByName(now.join(known, F.col(name) == F.col("_taken"), "left_anti"))
 
 
-def file_record_numbers(scan: DataFrame, name: str) -> DataFrame:
+def file_blocks(scan: DataFrame) -> DataFrame:
+    """``(_path, _start, _first, _n, _before)``: a row for each block of each file that the scan reads."""
+    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    return _placed(scan).groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def _placed(scan: DataFrame) -> DataFrame:
+    return scan.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+                       F.monotonically_increasing_id().alias("_id"))
+
+
+def file_record_numbers(scan: DataFrame, name: str, blocks: DataFrame | None = None) -> DataFrame:
     """1..N per file in file order, for a scan of any layout: many files, equal base names, split files.
 
     A record's number is its place in its block of the file, after the records of the blocks before. The
     scan runs twice: once to count the records of each block, once for the rows. Both deal out the same
     blocks to the same partitions, since that depends on the files and the settings alone. Adds ``_path``.
+
+    ``blocks`` are the scan's ``file_blocks`` as written. Spark then knows their size, and sends them to
+    the rows as long as they are small (a row of about 100 bytes for each block), so that no row moves.
     """
-    rows = scan.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
-                       F.monotonically_increasing_id().alias("_id"))
-    before = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).select(
-        "_path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each block
-    return rows.join(blocks, ["_path", "_start"]).select(
+    blocks = file_blocks(scan) if blocks is None else blocks
+    return _placed(scan).join(blocks, ["_path", "_start"]).select(
         *scan.columns, "_path", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias(name))
 
 

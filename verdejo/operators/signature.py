@@ -1,28 +1,57 @@
-"""Content signature of a table that does not depend on row order or file layout."""
+"""Content signature of a table that does not depend on row order or file layout, and can be merged from parts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Four numbers of 60 bits are taken from each row's digest; their sums are the signature.
+PARTS, _DIGITS = 4, 15
+PLACES = 6
+_SUMS = [f"s{i}" for i in range(1, PARTS + 1)]
+
+
+def _text(field: T.StructField) -> Column:
+    """A value as text that any engine can write alike: doubles as decimals of ``PLACES`` places, half up."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        plain = value.cast(T.DecimalType(38, PLACES)).cast("string")
+        # What no decimal holds is written as the engine writes it.
+        return F.when(F.isnan(value) | (F.abs(value) >= 1e30), value.cast("string")).otherwise(plain)
+    return value.cast("string")
+
+
+def _cell(field: T.StructField) -> Column:
+    text = _text(field)
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def shape_of(schema: T.StructType) -> str:
+    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema)
 
 
 def signature(df: DataFrame, table: str) -> DataFrame:
-    """One row: row count, sum and xor of row hashes, and a hash of the schema.
+    """One row: row count, four sums over the rows' digests (240 bits in all), and a hash of the schema.
 
-    Each cell is written as text with its position, so a NULL, an empty text and
-    a value moved to the next column all hash differently. Summing and xoring
-    the row hashes is a partial aggregate; duplicates still change the sum.
+    A cell is its length in bytes and its text, or ``-`` for NULL, so no two rows of one schema share a text. Sums are
+    partial aggregates; repeated rows change them. ``merged`` adds the signatures of parts.
     """
-    cells = [F.coalesce(F.concat(F.lit(f"{i}="), F.col(f"`{c}`").cast("string")), F.lit(f"{i}~"))
-             for i, c in enumerate(df.columns)]
-    row = F.md5(F.concat_ws("\x1f", *cells))
-    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("bigint")
-    shape = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema)
-    return df.select(number.alias("_h")).agg(
-        F.count(F.lit(1)).alias("linhas"),
-        F.sum(F.col("_h").cast("decimal(20,0)")).cast("string").alias("soma"),
-        F.bit_xor("_h").alias("xor"),
-    ).select(F.lit(table).alias("tabela"), "linhas", "soma", "xor", F.md5(F.lit(shape)).alias("esquema"))
+    row = F.sha2(F.concat(F.lit(""), *(_cell(f) for f in df.schema)), 256)
+    numbers = [F.conv(F.substring("_h", 1 + i * _DIGITS, _DIGITS), 16, 10).cast("decimal(20,0)") for i in range(PARTS)]
+    sums = [F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,0)").cast("string").alias(s) for s, x in zip(_SUMS, numbers)]
+    return df.select(row.alias("_h")).agg(F.count(F.lit(1)).alias("linhas"), *sums).select(
+        F.lit(table).alias("tabela"), "linhas", *_SUMS, F.md5(F.lit(shape_of(df.schema))).alias("esquema"))
+
+
+def merged(*parts: DataFrame) -> DataFrame:
+    """The signatures of whole tables from those of their parts; parts of another schema stay apart."""
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy("tabela", "esquema").agg(
+        F.sum("linhas").alias("linhas"), *(F.sum(F.col(s).cast("decimal(38,0)")).cast("decimal(38,0)").cast("string").alias(s) for s in _SUMS)
+    ).select("tabela", "linhas", *_SUMS, "esquema")
 
 
 def key_changes(before: DataFrame, after: DataFrame, natural: str, surrogate: str) -> DataFrame:

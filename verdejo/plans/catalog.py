@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.text import normal_form, tight_key
 from ..operators import checks as C
 from ..operators.quantiles import money_fence
-from ..operators.signature import key_changes, signature
+from ..operators.signature import key_changes, merged, signature
 from ..sources import indicators, landing
 from . import gold, gold_quality, growth, integration, kpis, panel, quality, silver, testbed
 from .warehouse import open_warehouse
@@ -106,6 +106,16 @@ def _source_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return C.union([signature(df, t).drop("esquema") for t, df in raw.items()])
 
 
+def _part_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """Signatures of the sources, added up from those of two parts that split each table by its rows' text."""
+    raw = testbed.raw_tables(spark, folder)
+    halves = []
+    for t, df in raw.items():
+        side = F.pmod(F.xxhash64(*df.columns), F.lit(2))
+        halves += [signature(df.filter(side == i), t) for i in range(2)]
+    return merged(*halves).drop("esquema")
+
+
 def _order_slice(spark: SparkSession, folder: str) -> DataFrame:
     """Delivered value by month straight from landed text: typed cleaning, strict totals, grouping."""
     raw = testbed.raw_tables(spark, folder)
@@ -154,7 +164,7 @@ QUERIES: dict[str, Query] = {
     "landed_shape_checks": lambda spark, folder: _short(quality.landed_shape(spark, _landed(spark, folder))),
     "landed_content_checks": lambda spark, folder: _short(quality.landed_content(_landed(spark, folder), [TAG])),
     "indicator_consolidation": _consolidated,
-    "source_signatures": _source_signatures,
+    "source_signatures": _source_signatures, "merged_signatures": _part_signatures,
     # cleaning
     "clean_orders": _silver(silver.orders), "clean_items": _silver(silver.order_items),
     "clean_payments": _silver(silver.payments), "clean_reviews": _silver(silver.reviews),

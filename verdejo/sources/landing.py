@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..operators.keys import file_record_numbers
+from ..operators.keys import file_blocks, file_record_numbers
 from ..operators.signature import signature
 from ..session import Workspace, together
+from .files import exists, get_text, prune, put_text, remove
 
 MANIFEST = T.StructType([
     T.StructField("tabela", T.StringType()), T.StructField("arquivo_origem", T.StringType()),
     T.StructField("caminho_origem", T.StringType()), T.StructField("sha256", T.StringType()),
     T.StructField("data_ingestao", T.TimestampNTZType()), T.StructField("linhas", T.LongType()),
+    T.StructField("pasta", T.StringType()),
 ])
+MANIFEST_FILE = "manifesto.json"
 
 
 class MissingSource(FileNotFoundError):
@@ -43,6 +48,7 @@ class Source:
     tag: str
     hint: str
     format: str = "csv"
+    multi_line: bool = True  # quoted fields may hold line breaks, so a file is not split
 
 
 def retail_sources(root: str, tags: tuple[str, str, str] = ("loja", "indicadores", "cadastro")) -> tuple[Source, ...]:
@@ -62,25 +68,6 @@ def retail_sources(root: str, tags: tuple[str, str, str] = ("loja", "indicadores
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def replace_folder(spark: SparkSession, new: str, target: str) -> None:
-    """Puts a finished folder in the place of an earlier one."""
-    paths = spark._jvm.org.apache.hadoop.fs.Path
-    files = paths(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(paths(target), True)
-    if not files.rename(paths(new), paths(target)):
-        raise OSError(f"cannot move {new} to {target}")
-
-
 def chosen(sources: Sequence[Source], tables: Iterable[str] | None) -> list[Source]:
     if tables is None:
         return list(sources)
@@ -138,12 +125,12 @@ def _read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
-    return read_register(spark, source.path) if source.format == "json" else read_text_csv(spark, source.path)
+    return read_register(spark, source.path) if source.format == "json" else read_text_csv(spark, source.path, source.multi_line)
 
 
-def with_lineage(df: DataFrame, tag: str, when: datetime) -> DataFrame:
-    """Adds source tag, file name, ingest time and the record number within the file."""
-    named = file_record_numbers(df.select("*", F.col("_metadata")), "_linha_origem")
+def with_lineage(df: DataFrame, tag: str, when: datetime, blocks: DataFrame | None = None) -> DataFrame:
+    """Adds source tag, file name, ingest time and the record number within the file. ``blocks``: the file blocks as written."""
+    named = file_record_numbers(df.select("*", F.col("_metadata")), "_linha_origem", blocks)
     return named.select(*df.columns, F.lit(tag).alias("_fonte"), F.col("_metadata.file_name").alias("_arquivo_origem"),
                         F.lit(when.isoformat()).cast("timestamp_ntz").alias("_data_ingestao"), "_linha_origem")
 
@@ -157,29 +144,56 @@ def land_parquet(spark: SparkSession, path: str, tag: str, when: datetime) -> Da
                      (F.col("_metadata.row_index") + 1).alias("_linha_origem"))
 
 
+_WORDS, _WORD = 5, 7  # numbers taken from a line's digest, and the hex digits of each: 140 bits
+_ROW_BITS = (1 << 33) - 1  # the low bits of monotonically_increasing_id count rows of a partition
+
+
 def fingerprint(spark: SparkSession, source: Source) -> str:
     """One rule for a file or a folder of any size: it changes with every byte, with the order of lines and with file names.
 
-    Each line is hashed with its number and its file; the hashes are summed and xored, and hashed with
-    the names and sizes of all files. Nothing but counters and one row per file comes together.
+    Each line's digest is summed plainly and weighted by the line's number in its file; the sums are hashed with the
+    names and sizes of all files. A block adds up its lines by their place within it, and its weighted sums are moved
+    to its place in the file afterwards, so the files are read once, no line moves, and the layout does not matter.
     """
-    lines = file_record_numbers(spark.read.option("lineSep", "\n").text(source.path).select("*", F.col("_metadata")), "_line")
-    total = signature(lines.select(F.col("_metadata.file_name").alias("name"), "_line", "value"), source.table)
-    files = spark.read.format("binaryFile").load(source.path).select(
+    lines = spark.read.option("lineSep", "\n").text(source.path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"), F.sha2("value", 256).alias("h"))
+    words = lines.select("path", "name", "start", "row", *(
+        F.conv(F.substring("h", 1 + i * _WORD, _WORD), 16, 10).cast("bigint").alias(f"w{i}") for i in range(_WORDS)))
+    whole = "decimal(38,0)"
+    blocks = words.groupBy("path", "name", "start").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row").alias("first"), *(F.sum(f"w{i}").alias(f"s{i}") for i in range(_WORDS)),
+        *(F.sum((F.col(f"w{i}") * F.col("row")).cast("decimal(20,0)")).cast(whole).alias(f"p{i}") for i in range(_WORDS)))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    moved = blocks.withColumn("move", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).cast("decimal(19,0)"))
+    files = moved.groupBy("path", "name").agg(
+        F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(_WORDS)),
+        *(F.sum((F.col(f"p{i}") + F.col("move") * F.col(f"s{i}").cast("decimal(19,0)")).cast(whole)).cast(whole).alias(f"p{i}") for i in range(_WORDS)))
+    total = signature(files.drop("path"), source.table)
+    sizes = spark.read.format("binaryFile").load(source.path).select(
         F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").cast("string").alias("length"))
-    shape = signature(files, source.table)
-    row = total.union(shape).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws("|", "linhas", "soma", "xor", "esquema"))), "/"), 256)).first()
+    shape = signature(sizes, source.table)
+    row = total.union(shape).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(
+        F.concat_ws("|", "linhas", "s1", "s2", "s3", "s4", "esquema"))), "/"), 256)).first()
     return row[0]
 
 
+def _entries(spark: SparkSession, root: str) -> dict[str, tuple]:
+    """The manifest by table; a row for each source."""
+    path = f"{root}/{MANIFEST_FILE}"
+    rows = json.loads(get_text(spark, path)) if exists(spark, path) else []
+    when = MANIFEST.fieldNames().index("data_ingestao")
+    return {r[0]: (*r[:when], datetime.fromisoformat(r[when]), *r[when + 1:]) for r in rows}
+
+
 def load_manifest(spark: SparkSession, root: str) -> DataFrame:
-    path = f"{root}/_manifesto"
-    return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
+    return spark.createDataFrame(list(_entries(spark, root).values()), MANIFEST)
 
 
 def _store_manifest(spark: SparkSession, root: str, entries: dict[str, tuple]) -> None:
-    rows = spark.createDataFrame(list(entries.values()), MANIFEST)  # one row per source table
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifesto")
+    """Puts tables and manifest in place at once: readers find a table through its entry."""
+    rows = [[v.isoformat() if isinstance(v, datetime) else v for v in e] for e in entries.values()]
+    put_text(spark, f"{root}/{MANIFEST_FILE}", json.dumps(rows, ensure_ascii=False))
 
 
 def ingest_time(entry: tuple | None, digest: str, output_exists: bool, now: datetime) -> tuple[datetime, bool]:
@@ -191,33 +205,38 @@ def ingest_time(entry: tuple | None, digest: str, output_exists: bool, now: date
 
 def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspace, now: datetime | None = None,
          tables: Iterable[str] | None = None) -> list[dict]:
-    """Writes every source under ``root`` and returns one summary per table."""
+    """Writes every source under ``root`` and returns one summary per table.
+
+    A source is counted block by block, and written with record numbers from those counts; the rows that pass the
+    writer and the rows that the written table holds are counted too, and all three have to agree. A table's new
+    version lies beside the earlier one until the manifest, one small file, names it; the earlier one then stays for
+    its readers until the next landing.
+    """
     picked = chosen(sources, tables)
     require(spark, picked)
     now = now or datetime.now().replace(microsecond=0)
-    entries = {r[0]: tuple(r) for r in load_manifest(spark, root).collect()}
+    entries = _entries(spark, root)
     done: list[dict] = []
 
     def one(source: Source) -> None:
-        target = f"{root}/{source.table}"
-        digest = fingerprint(spark, source)
-        when, changed = ingest_time(entries.get(source.table), digest, exists(spark, target), now)
+        entry = entries.get(source.table)
         df = read_source(spark, source)
-        landed = with_lineage(df, source.tag, when)
-        # Written aside; the earlier table stays until the new one has been counted.
-        aside = f"{root}/_preparo/{source.table}-{uuid.uuid4().hex}"
-        # The source is counted on its own, beside the write that the count will be held against.
-        expected, _ = together(lambda job: job(), (
-            df.count, lambda: landed.write.option("compression", "snappy").parquet(aside)))
-        written = spark.read.parquet(aside).count()
-        if written != expected:
-            remove(spark, aside)
-            raise CountMismatch(f"{source.table}: origem com {expected} registros e saida com {written}")
-        replace_folder(spark, aside, target)
+        digest, blocks = together(lambda job: job(), (
+            lambda: fingerprint(spark, source), lambda: ws.keep(f"blocks-{source.table}", file_blocks(df.select("*", F.col("_metadata"))))))
+        when, changed = ingest_time(entry, digest, bool(entry) and exists(spark, f"{root}/{entry[6]}"), now)
+        landed = with_lineage(df, source.tag, when, blocks)
+        folder = f"{source.table}/versao={uuid.uuid4().hex}"
+        passed = Observation()
+        landed.observe(passed, F.count(F.lit(1)).alias("n")).write.option("compression", "snappy").parquet(f"{root}/{folder}")
+        expected = blocks.agg(F.sum("_n")).first()[0] or 0
+        written = spark.read.parquet(f"{root}/{folder}").count()
+        if not written == expected == passed.get["n"]:
+            remove(spark, f"{root}/{folder}")
+            raise CountMismatch(f"{source.table}: {expected} registros na origem, {passed.get['n']} entregues, {written} gravados")
         name = source.path.rstrip("/").rsplit("/", 1)[-1]
-        entries[source.table] = (source.table, name, source.path, digest, when, written)
-        done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": written,
-                     "colunas_dados": len(df.columns), "data_ingestao": when, "fonte_alterada": changed, "sha256": digest})
+        entries[source.table] = (source.table, name, source.path, digest, when, written, folder)
+        done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": written, "colunas_dados": len(df.columns),
+                     "data_ingestao": when, "fonte_alterada": changed, "sha256": digest, "_antes": entry[6] if entry else None})
 
     try:
         together(one, picked)
@@ -225,12 +244,18 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
         # Also after a failure, so that the manifest tells what is on disk.
         if done:
             _store_manifest(spark, root, entries)
+            for d in done:
+                kept = [entries[d["tabela"]][6], d.pop("_antes")]
+                prune(spark, f"{root}/{d['tabela']}", "versao=", [f.rsplit("/", 1)[-1] for f in kept if f])
     order = [s.table for s in picked]
     return sorted(done, key=lambda d: order.index(d["tabela"]))
 
 
 def landed_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    missing = [n for n in names if not exists(spark, f"{root}/{n}")]
+    """Tables as the manifest names them, or as folders of their own where there is no entry."""
+    entries = _entries(spark, root)
+    places = {n: f"{root}/{entries[n][6] if n in entries else n}" for n in names}
+    missing = [n for n, path in places.items() if not exists(spark, path)]
     if missing:
-        raise MissingSource("tabela(s) ausente(s): " + ", ".join(f"{n} -> {root}/{n}" for n in missing))
-    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+        raise MissingSource("tabela(s) ausente(s): " + ", ".join(f"{n} -> {places[n]}" for n in missing))
+    return {n: spark.read.parquet(path) for n, path in places.items()}

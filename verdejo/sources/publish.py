@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import FAILED, outcome
 from ..session import together
-from .landing import exists
+from .files import exists, prune, put_text
 
-POINTER = "CURRENT"
+POINTER, HISTORY = "CURRENT", "HISTORY"
 
 
 def write_table(df: DataFrame, path: str) -> int:
@@ -27,19 +27,6 @@ def write_table(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
-def _text_to(spark: SparkSession, path: str, text: str) -> None:
-    """A small text file, put in place by one rename."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, draft = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
-    conf = spark._jsc.hadoopConfiguration()
-    out = target.getFileSystem(conf).create(draft, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    replace = spark._jvm.java.lang.reflect.Array.newInstance(hadoop.Options.Rename.OVERWRITE.getClass(), 1)
-    replace[0] = hadoop.Options.Rename.OVERWRITE
-    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, replace)
-
-
 def current_version(spark: SparkSession, root: str) -> str | None:
     path = f"{root}/{POINTER}"
     if not exists(spark, path):
@@ -47,6 +34,13 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return spark.read.text(path).first()[0].strip()
 
 
+def _history(spark: SparkSession, root: str) -> list[str]:
+    """The versions that were current, the last one at the end."""
+    now = current_version(spark, root)
+    past = [r[0] for r in spark.read.text(f"{root}/{HISTORY}").collect()] if exists(spark, f"{root}/{HISTORY}") else []
+    return [v for v in past if v != now] + ([now] if now else [])
+
+
 def read_published(spark: SparkSession, root: str, tables) -> dict[str, DataFrame]:
     version = current_version(spark, root)
     if version is None:
@@ -66,12 +60,15 @@ Build = Callable[[Keep], Mapping[str, DataFrame]]
 
 
 def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame] | Build,
-            check: Callable[[dict[str, DataFrame]], DataFrame] | None = None, version: str | None = None) -> DataFrame | None:
+            check: Callable[[dict[str, DataFrame]], DataFrame] | None = None, version: str | None = None,
+            before_switch: Callable[[], None] | None = None, retain: int = 2) -> DataFrame | None:
     """Writes a full new version aside, checks what was written, then moves the pointer.
 
     ``tables`` are finished frames, or a builder that writes each table through the
     function it is given, so that no table is written twice. Readers see the old version
-    until the pointer moves; on any failure it never does. Returns the check results.
+    until the pointer moves; on any failure it never does. ``before_switch`` may still raise. The ``retain`` versions
+    that were current last stay, for readers that hold them; others and what failed runs left are removed. Returns the
+    check results.
     """
     version = version or uuid.uuid4().hex
     home = f"{root}/version={version}"
@@ -88,7 +85,12 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame] | Bu
         bad = [r[0] for r in results.filter(F.col("status") == FAILED).select("id").collect()]
         if bad:
             raise ValueError("Carga reprovada: " + "; ".join(bad))
-    _text_to(spark, f"{root}/{POINTER}", version)
+    if before_switch is not None:
+        before_switch()
+    past = [v for v in _history(spark, root) if v != version]
+    put_text(spark, f"{root}/{HISTORY}", "\n".join([*past, version][-retain:]))
+    put_text(spark, f"{root}/{POINTER}", version)
+    prune(spark, root, "version=", [f"version={v}" for v in [*past, version][-retain:]])
     return results
 
 
@@ -100,10 +102,10 @@ def write_report(results: DataFrame, root: str, title: str, extra: Mapping[str,
     sections = {name: [r.asDict() for r in df.collect()] for name, df in (extra or {}).items()}
     body = {"resultado_geral": verdict["resultado_geral"], "resumo": verdict.asDict(),
             "testes": [r.asDict() for r in rows], **sections}
-    _text_to(spark, f"{root}/qualidade.json", json.dumps(body, ensure_ascii=False, indent=2, default=str) + "\n")
+    put_text(spark, f"{root}/qualidade.json", json.dumps(body, ensure_ascii=False, indent=2, default=str) + "\n")
     lines = [f"# {title}", "", verdict["resultado_geral"], "", "| Verificacao | Esperado | Encontrado | Resultado |",
              "| --- | --- | --- | --- |"]
     lines += [f"| {r.id} | {r.esperado} | {r.encontrado} | {r.status} |" for r in rows]
     for name, content in sections.items():
         lines += ["", f"## {name}", ""] + [f"- {', '.join(f'{k}: {v}' for k, v in r.items())}" for r in content]
-    _text_to(spark, f"{root}/qualidade.md", "\n".join(lines) + "\n")
+    put_text(spark, f"{root}/qualidade.md", "\n".join(lines) + "\n")
