@@ -37,7 +37,7 @@ def extracts(w: Warehouse) -> list[landing.Source]:
     """CSV files of every landed table, written before the clock starts."""
     for name, df in w.raw.items():
         df.coalesce(1).write.option("header", True).option("quoteAll", True).csv(f"{w.ws.root}/raw/{name}")
-    return [landing.Source(n, f"{w.ws.root}/raw/{n}", "loja", "bench") for n in w.raw]
+    return [landing.Source(n, f"{w.ws.root}/raw/{n}", "loja", "bench", multi_line=n in landing.FREE_TEXT) for n in w.raw]
 
 
 def main() -> None:

@@ -228,3 +228,13 @@ def test_old_versions_go(spark, tmp_path):
     publish.publish(spark, root, {"t": df})
     left = {p.name for p in (tmp_path / "pub").iterdir() if p.name.startswith("version=")}
     assert len(left) == 2 and f"version={now}" in left and f"version={publish.current_version(spark, root)}" in left
+
+
+def test_split_files_must_not_hold_line_breaks(spark, source, tmp_path):
+    plain = landing.Source(source.table, source.path, "loja", "", multi_line=False)
+    with pytest.raises(landing.UnexpectedStructure, match="multi_line"):
+        landing.land(spark, [plain], str(tmp_path / "bronze"), Workspace(spark), NOW)
+    path = tmp_path / "plain.csv"
+    path.write_text('a,b\n1,"x ""y"""\n2,\n')
+    done = landing.land(spark, [landing.Source("t", str(path), "loja", "", multi_line=False)], str(tmp_path / "bronze"), Workspace(spark), NOW)
+    assert done[0]["linhas_saida"] == 2

@@ -33,17 +33,18 @@ def shape_of(schema: T.StructType) -> str:
     return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema)
 
 
-def signature(df: DataFrame, table: str) -> DataFrame:
+def signature(df: DataFrame, table: str, **also: Column) -> DataFrame:
     """One row: row count, four sums over the rows' digests (240 bits in all), and a hash of the schema.
 
     A cell is its length in bytes and its text, or ``-`` for NULL, so no two rows of one schema share a text. Sums are
-    partial aggregates; repeated rows change them. ``merged`` adds the signatures of parts.
+    partial aggregates; repeated rows change them. ``merged`` adds the signatures of parts. ``also`` holds further
+    aggregates to compute in the same pass.
     """
     row = F.sha2(F.concat(F.lit(""), *(_cell(f) for f in df.schema)), 256)
     numbers = [F.conv(F.substring("_h", 1 + i * _DIGITS, _DIGITS), 16, 10).cast("decimal(20,0)") for i in range(PARTS)]
     sums = [F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,0)").cast("string").alias(s) for s, x in zip(_SUMS, numbers)]
-    return df.select(row.alias("_h")).agg(F.count(F.lit(1)).alias("linhas"), *sums).select(
-        F.lit(table).alias("tabela"), "linhas", *_SUMS, F.md5(F.lit(shape_of(df.schema))).alias("esquema"))
+    return df.select("*", row.alias("_h")).agg(F.count(F.lit(1)).alias("linhas"), *sums, *(c.alias(n) for n, c in also.items())).select(
+        F.lit(table).alias("tabela"), "linhas", *_SUMS, F.md5(F.lit(shape_of(df.schema))).alias("esquema"), *also)
 
 
 def merged(*parts: DataFrame) -> DataFrame:

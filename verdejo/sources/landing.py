@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -48,7 +48,11 @@ class Source:
     tag: str
     hint: str
     format: str = "csv"
-    multi_line: bool = True  # quoted fields may hold line breaks, so a file is not split
+    multi_line: bool = True  # quoted fields may hold line breaks, so a file is not split; False is checked while landing
+
+
+#: Extracts whose fields may hold line breaks.
+FREE_TEXT = ("avaliacoes",)
 
 
 def retail_sources(root: str, tags: tuple[str, str, str] = ("loja", "indicadores", "cadastro")) -> tuple[Source, ...]:
@@ -62,8 +66,8 @@ def retail_sources(root: str, tags: tuple[str, str, str] = ("loja", "indicadores
     }
     hint = "extrato da loja"
     return (
-        *[Source(t, f"{root}/{f}", shop, hint) for t, f in files.items()],
-        Source("indicadores", f"{root}/indicators.csv", facts, "consolidado dos indicadores municipais"),
+        *[Source(t, f"{root}/{f}", shop, hint, multi_line=t in FREE_TEXT) for t, f in files.items()],
+        Source("indicadores", f"{root}/indicators.csv", facts, "consolidado dos indicadores municipais", multi_line=False),
         Source("municipios", f"{root}/municipalities.json", register, "cadastro de municipios", "json"),
     )
 
@@ -144,38 +148,53 @@ def land_parquet(spark: SparkSession, path: str, tag: str, when: datetime) -> Da
                      (F.col("_metadata.row_index") + 1).alias("_linha_origem"))
 
 
-_WORDS, _WORD = 5, 7  # numbers taken from a line's digest, and the hex digits of each: 140 bits
+_WORDS = 6  # numbers of 30 bits taken from each line, two from each of its hashes: 180 bits
 _ROW_BITS = (1 << 33) - 1  # the low bits of monotonically_increasing_id count rows of a partition
 
 
 def fingerprint(spark: SparkSession, source: Source) -> str:
-    """One rule for a file or a folder of any size: it changes with every byte, with the order of lines and with file names.
+    return read_lines(spark, source)[0]
+
+
+def read_lines(spark: SparkSession, source: Source) -> tuple[str, int]:
+    """The fingerprint of a source, and how many of its lines leave a quoted field open.
 
-    Each line's digest is summed plainly and weighted by the line's number in its file; the sums are hashed with the
+    One rule for a file or a folder of any size: it changes with every byte, with the order of lines and with file names.
+
+    Each line's hashes are summed plainly and weighted by the line's number in its file; the sums are hashed with the
     names and sizes of all files. A block adds up its lines by their place within it, and its weighted sums are moved
     to its place in the file afterwards, so the files are read once, no line moves, and the layout does not matter.
     """
     lines = spark.read.option("lineSep", "\n").text(source.path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"), F.sha2("value", 256).alias("h"))
-    words = lines.select("path", "name", "start", "row", *(
-        F.conv(F.substring("h", 1 + i * _WORD, _WORD), 16, 10).cast("bigint").alias(f"w{i}") for i in range(_WORDS)))
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"), *(F.xxhash64(F.lit(i), "value").alias(f"h{i}") for i in range(_WORDS // 2)),
+        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).cast("bigint").alias("open"))
+    low = (1 << 30) - 1
+    words = lines.select("path", "name", "start", "row", "open", *(
+        F.shiftright(f"h{i // 2}", 30 * (i % 2)).bitwiseAND(F.lit(low)).alias(f"w{i}") for i in range(_WORDS)))
     whole = "decimal(38,0)"
+
+    def weighted(i: int) -> Column:
+        """The sum of words times rows, each product of at most 63 bits summed in two halves."""
+        product, half = F.col(f"w{i}") * F.col("row"), (1 << 31) - 1
+        return (F.sum(F.shiftright(product, 31)).cast("decimal(19,0)") * F.lit(half + 1).cast("decimal(10,0)")
+                + F.sum(product.bitwiseAND(F.lit(half)))).cast(whole)
+
     blocks = words.groupBy("path", "name", "start").agg(
-        F.count(F.lit(1)).alias("n"), F.min("row").alias("first"), *(F.sum(f"w{i}").alias(f"s{i}") for i in range(_WORDS)),
-        *(F.sum((F.col(f"w{i}") * F.col("row")).cast("decimal(20,0)")).cast(whole).alias(f"p{i}") for i in range(_WORDS)))
+        F.count(F.lit(1)).alias("n"), F.min("row").alias("first"), F.sum("open").alias("open"), *(F.sum(f"w{i}").alias(f"s{i}") for i in range(_WORDS)),
+        *(weighted(i).alias(f"p{i}") for i in range(_WORDS)))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
     moved = blocks.withColumn("move", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).cast("decimal(19,0)"))
     files = moved.groupBy("path", "name").agg(
-        F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(_WORDS)),
+        F.sum("n").alias("n"), F.sum("open").alias("open"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(_WORDS)),
         *(F.sum((F.col(f"p{i}") + F.col("move") * F.col(f"s{i}").cast("decimal(19,0)")).cast(whole)).cast(whole).alias(f"p{i}") for i in range(_WORDS)))
-    total = signature(files.drop("path"), source.table)
+    total = signature(files.drop("path"), source.table, abertas=F.coalesce(F.sum("open"), F.lit(0)))
     sizes = spark.read.format("binaryFile").load(source.path).select(
         F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").cast("string").alias("length"))
-    shape = signature(sizes, source.table)
+    shape = signature(sizes, source.table, abertas=F.lit(0).cast("bigint"))
     row = total.union(shape).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(
-        F.concat_ws("|", "linhas", "s1", "s2", "s3", "s4", "esquema"))), "/"), 256)).first()
-    return row[0]
+        F.concat_ws("|", "linhas", "s1", "s2", "s3", "s4", "esquema"))), "/"), 256).alias("sha"), F.sum("abertas").alias("abertas")).first()
+    return row.sha, row.abertas
 
 
 def _entries(spark: SparkSession, root: str) -> dict[str, tuple]:
@@ -221,8 +240,10 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
     def one(source: Source) -> None:
         entry = entries.get(source.table)
         df = read_source(spark, source)
-        digest, blocks = together(lambda job: job(), (
-            lambda: fingerprint(spark, source), lambda: ws.keep(f"blocks-{source.table}", file_blocks(df.select("*", F.col("_metadata"))))))
+        (digest, split), blocks = together(lambda job: job(), (
+            lambda: read_lines(spark, source), lambda: ws.keep(f"blocks-{source.table}", file_blocks(df.select("*", F.col("_metadata"))))))
+        if split and source.format == "csv" and not source.multi_line:
+            raise UnexpectedStructure(f"{source.table}: {split} linhas com aspas abertas; a origem precisa de multi_line")
         when, changed = ingest_time(entry, digest, bool(entry) and exists(spark, f"{root}/{entry[6]}"), now)
         landed = with_lineage(df, source.tag, when, blocks)
         folder = f"{source.table}/versao={uuid.uuid4().hex}"
