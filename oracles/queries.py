@@ -557,6 +557,56 @@ _SQL["key_growth"] = _all(*[
 
 _SQL["star_signatures"] = _all(*[_star_signature(t) for t in STAR])
 
+# Files landed twice, read back, published: what comes out is what went in.
+_FILES = [t for t in SHAPES if t != "de_para"]
+_WHEN = "timestamp '2026-01-02 03:04:05'"
+
+
+def _landed_rows(name: str) -> str:
+    table, columns = SHAPES[name]
+    return f"select {', '.join(f'{c}' for c in columns.split())}, 'loja' _fonte, {_WHEN} _data_ingestao from {table}"
+
+
+_REGISTER = ("id nome microrregiao_mesorregiao_uf_sigla regiao_imediata_regiao_intermediaria_uf_sigla microrregiao_mesorregiao_uf_nome "
+             "regiao_imediata_regiao_intermediaria_uf_nome microrregiao_mesorregiao_uf_regiao_nome regiao_imediata_regiao_intermediaria_uf_regiao_nome "
+             "microrregiao_mesorregiao_nome microrregiao_nome").split()
+_SQL.update({
+    "landed_csv_orders": _landed_rows("pedidos"), "landed_csv_reviews": _landed_rows("avaliacoes"), "landed_csv_items": _landed_rows("itens_pedido"),
+    "landed_csv_counts": _all(*[f"select '{t}' tabela, count(*) linhas_entrada, count(*) linhas_saida, cast({len(SHAPES[t][1].split())} as integer) colunas, "
+                                f"true nova, false alterada, true data_mantida from {SHAPES[t][0]}" for t in _FILES]),
+    "landed_csv_numbers": _all(*[f"select '{t}' tabela, count(*) linhas, cast(0 as bigint) arquivos_com_falha from {SHAPES[t][0]}" for t in _FILES]),
+    "landed_csv_manifest": _all(*[f"select '{t}' tabela, '{t}' arquivo_origem, {_WHEN} data_ingestao, count(*) linhas, cast(64 as integer) digitos, true igual "
+                                  f"from {SHAPES[t][0]}" for t in _FILES]),
+    "landed_json_register": "select " + ", ".join(f"{c} {n}" for c, n in zip(SHAPES["municipios"][1].split(), _REGISTER)) + " from fx_municipios",
+    "landed_crosswalk": _SQL["crosswalk"],
+    "source_checks": _all(_fixed("BRZ-EST-001", len(_FILES), len(_FILES)), *[_fixed(f"BRZ-CNT-00{i}", 0, 0) for i in (1, 2, 3)],
+                          _fixed("BRZ-CNT-004", len(_FILES), len(_FILES)), _fixed("REP-003", SHAPES["de_para"][1].replace(" ", ", "), SHAPES["de_para"][1].replace(" ", ", "))),
+    "published_counts": _SQL["star_counts"],
+    "published_report": "select case when reprovados > 0 then 'REPROVADO' when alertas > 0 then 'APROVADO COM ALERTAS' else 'APROVADO' end resultado_geral, * "
+                        "from (select count(*) executados, count(*) filter (status = 'APROVADO') aprovados, count(*) filter (status = 'ALERTA') alertas, "
+                        "count(*) filter (status = 'REPROVADO') reprovados, cast(0 as bigint) nao_executados from ("
+                        + _all(*[f"select status from ({_SQL[c]})" for c in ("star_structure_checks", "star_reference_checks", "star_rule_checks",
+                                                                            "star_reconciliation_checks", "star_preservation_checks")]) + "))",
+    "sorted_outputs": _all(*[f"select '{n}' tabela, count(*) linhas, cast(0 as bigint) arquivos_fora_de_ordem, cast(0 as bigint) linhas_fora_de_ordem from {t}" for n, t in (
+        ("municipios_cliente", "s_clientes"), ("municipios_vendedor", "s_vendedores"),
+        ("distancias_vendedor_cliente", "(select distinct seller_id, customer_id from s_itens join s_pedidos using (order_id))"), ("distancias_itens", "s_itens"))]),
+    "csv_sink": _SQL["unresolved_places"],
+})
+
+# An order counts once in each group that it has an item in.
+_GOODS = "(select distinct i.order_id bo, categoria_pt from f_item i left join d_produto p on p.sk_produto = i.sk_produto) on bo = order_id"
+_SHOPS = "left join (select sk_vendedor sv, uf vendedor_uf, regiao vendedor_regiao from d_vendedor) on sv = i.sk_vendedor"
+_SQL.update({
+    "split_orders_category": _kpi("VEN-005", "categoria_pt", f"join {_GOODS}"),
+    "split_ticket_price_band_quarter": _kpi("VEN-007", "faixa_preco, trimestre", "join (select distinct order_id bo, faixa_preco from f_item) on bo = order_id "
+                                            "join d_tempo on sk_tempo = sk_tempo_compra"),
+    "split_late_seller_region_category": _kpi(
+        "LOG-002", "vendedor_regiao, categoria_pt", f"join (select distinct i.order_id bo, vendedor_regiao, categoria_pt from f_item i {_SHOPS} "
+        "left join d_produto p on p.sk_produto = i.sk_produto) on bo = order_id"),
+    "split_buyers_seller_total": f"select false total, * from ({_kpi('CLI-001', 'vendedor_uf', f'join (select distinct i.order_id bo, vendedor_uf from f_item i {_SHOPS}) on bo = order_id')}) "
+                                 f"union all select true, null, * from ({_kpi('CLI-001')})",
+})
+
 _PARTS = ("silver_key_checks", "silver_reference_checks", "silver_grain_checks", "silver_money_checks", "order_rule_checks", "domain_checks",
           "imputation_checks", "geolocation_checks", "integration_key_checks", "match_checks", "crosswalk_checks", "distance_checks",
           "indicator_checks")

@@ -15,6 +15,7 @@ from ..operators.quantiles import money_fence
 from ..operators.signature import key_changes, merged, signature
 from ..sources import indicators, landing
 from . import gold, gold_quality, growth, integration, kpis, panel, quality, silver, testbed
+from .extracts import Extracts, open_extracts
 from .warehouse import open_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +158,10 @@ def _checks(fn: Callable, *layers: str) -> Query:
     return query
 
 
+def _files(fn: Callable[[Extracts], DataFrame]) -> Query:
+    return lambda spark, folder: fn(open_extracts(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     # landing
     **{f"landed_{t}": (lambda spark, folder, t=t: landing.land_parquet(spark, f"{folder}/{t}.parquet", TAG, WHEN))
@@ -165,6 +170,14 @@ QUERIES: dict[str, Query] = {
     "landed_content_checks": lambda spark, folder: _short(quality.landed_content(_landed(spark, folder), [TAG])),
     "indicator_consolidation": _consolidated,
     "source_signatures": _source_signatures, "merged_signatures": _part_signatures,
+    "landed_csv_orders": _files(lambda x: x.rows("pedidos")), "landed_csv_reviews": _files(lambda x: x.rows("avaliacoes")),
+    "landed_csv_items": _files(lambda x: x.rows("itens_pedido")), "landed_csv_counts": _files(Extracts.landed_again),
+    "landed_csv_numbers": _files(Extracts.numbers), "landed_csv_manifest": _files(Extracts.manifest),
+    "landed_json_register": _files(Extracts.register), "landed_crosswalk": _files(Extracts.crosswalk_rows),
+    "source_checks": _files(lambda x: _short(x.source_checks())),
+    # sinks
+    "published_counts": _files(Extracts.published_counts), "published_report": _files(Extracts.published_report),
+    "sorted_outputs": _files(Extracts.sorted_outputs), "csv_sink": _files(Extracts.csv_sink),
     # cleaning
     "clean_orders": _silver(silver.orders), "clean_items": _silver(silver.order_items),
     "clean_payments": _silver(silver.payments), "clean_reviews": _silver(silver.reviews),
@@ -263,4 +276,7 @@ QUERIES: dict[str, Query] = {
     "split_freight_seller_region": _kpi("FRE-001", ("vendedor_regiao",)),
     "split_days_weekday": _kpi("LOG-001", ("nome_dia_semana",)), "split_late_payment": _kpi("LOG-002", ("tipo_pagamento", "faixa_parcelas")),
     "split_items_weight": _kpi("VEN-006", ("faixa_peso",)), "split_score_region": _kpi("SAT-001", ("regiao",)),
+    "split_orders_category": _kpi("VEN-005", ("categoria_pt",)), "split_ticket_price_band_quarter": _kpi("VEN-007", ("faixa_preco", "trimestre")),
+    "split_late_seller_region_category": _kpi("LOG-002", ("vendedor_regiao", "categoria_pt")),
+    "split_buyers_seller_total": _on(lambda g: kpis.with_total(g, "CLI-001", ("vendedor_uf",)), "gold"),
 }

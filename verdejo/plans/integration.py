@@ -266,6 +266,13 @@ def resolve_both(silver: Tables, raw_crosswalk: DataFrame | None, ws=None) -> Ta
     return {**out, **kept(maps)}
 
 
+#: Tables that are written in a total order.
+ORDER = {
+    **{f"municipios_{suffix}": (key,) for key, suffix in ENTITIES.values()},
+    "distancias_vendedor_cliente": ("seller_id", "customer_id"), "distancias_itens": ("order_id", "order_item_id"),
+}
+
+
 def outputs(silver: Tables, base: Tables) -> Tables:
     buyers, sellers = base["mapa_clientes"], base["mapa_vendedores"]
     out = {"geografia_integrada": geography(base["referencia"], base["centroides"])}

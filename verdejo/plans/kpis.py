@@ -103,10 +103,11 @@ def _delivered_items(gold: Tables, items: DataFrame) -> DataFrame:
     return items.join(ids, F.col("order_id") == F.col("_o")).drop("_o")
 
 
-def measure(gold: Tables, code: str, by: Sequence[str] = ()) -> DataFrame:
-    """(attributes..., valor, base) of one KPI, whole or per combination of attributes."""
-    kpi = KPIS[code]
-    rows = _rows(gold, kpi)
+#: Attributes that an order has through its items; it may have several values of them.
+OF_ITEMS = tuple(a for a, where in ATTRIBUTES.items() if where is None or where[0] in ("dim_produto", "dim_vendedor"))
+
+
+def _labelled(gold: Tables, rows: DataFrame, by: Sequence[str]) -> DataFrame:
     for i, attribute in enumerate(by):
         where = ATTRIBUTES[attribute]
         if where is None:
@@ -115,9 +116,40 @@ def measure(gold: Tables, code: str, by: Sequence[str] = ()) -> DataFrame:
         column = attribute.removeprefix("vendedor_")
         labels = gold[dim].select(F.col(key).alias(f"_k{i}"), F.col(column).alias(attribute))
         rows = rows.join(labels, F.col(fk) == F.col(f"_k{i}"), "left")
+    return rows
+
+
+def bridge(gold: Tables, by: Sequence[str]) -> DataFrame:
+    """``(_order, attributes...)``: each combination that an order has among its items, once."""
+    keys = list(dict.fromkeys(a if ATTRIBUTES[a] is None else ATTRIBUTES[a][2] for a in by))
+    # Keys are made distinct before the labels are joined, so an order of many like items is one row already.
+    met = gold["fato_item_pedido"].select(F.col("order_id").alias("_order"), *keys).distinct()
+    return _labelled(gold, met, by).select("_order", *by).distinct()
+
+
+def measure(gold: Tables, code: str, by: Sequence[str] = ()) -> DataFrame:
+    """(attributes..., valor, base) of one KPI, whole or per combination of attributes.
+
+    An order KPI by attributes of items goes through the bridge: an order counts once in each group it has an item in,
+    so groups overlap and their bases add up to more than the whole (see ``with_total``). Orders without items are in
+    no such group.
+    """
+    kpi = KPIS[code]
+    through = [a for a in by if a in OF_ITEMS] if kpi.grain == ORDER else []
+    rows = _labelled(gold, _rows(gold, kpi), [a for a in by if a not in through])
+    if through:
+        rows = rows.join(bridge(gold, through), F.col("order_id") == F.col("_order"))
     return rows.groupBy(*by).agg(kpi.value().alias("valor"), kpi.base().alias("base"))
 
 
+def with_total(gold: Tables, code: str, by: Sequence[str]) -> DataFrame:
+    """``measure`` with the figure of all rows kept apart (``total``): what overlapping groups do not add up to."""
+    groups = measure(gold, code, by).select(F.lit(False).alias("total"), *by, "valor", "base")
+    whole = measure(gold, code)
+    blank = [F.lit(None).cast(groups.schema[a].dataType).alias(a) for a in by]
+    return groups.unionByName(whole.select(F.lit(True).alias("total"), *blank, "valor", "base"))
+
+
 def repurchase(gold: Tables) -> DataFrame:
     """Share of buyers with more than one delivered order."""
     per_buyer = gold["fato_pedido"].filter((F.col("status_pedido") == DELIVERED) & (F.col("sk_cliente") != 0)).groupBy(

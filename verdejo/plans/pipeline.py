@@ -12,7 +12,8 @@ from ..operators import checks as C
 from ..operators.checks import FAILED
 from ..operators.contract import verify
 from ..session import Workspace, together
-from ..sources import landing, publish
+from ..sources import landing, publish, snapshot
+from ..sources.snapshot import Snapshot
 from . import gold, gold_quality, integration, quality, silver
 from .schemas import STAR_INPUTS
 
@@ -20,15 +21,20 @@ Tables = dict[str, DataFrame]
 STAGES = ("bronze", "silver", "integracao", "validacao", "gold")
 
 
-def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | None = None) -> DataFrame:
-    """Contract, references, dimensions and facts, checks, then the switch to the new version."""
+def load_star(spark: SparkSession, tables: Tables | Snapshot, root: str, ws: Workspace | None = None) -> DataFrame:
+    """Contract, references, dimensions and facts, checks, then the switch to the new version.
+
+    With a snapshot every step reads the files that it names, and a file that changed meanwhile stops the publication.
+    """
     if ws is None:
         own = Workspace(spark)
         try:
             return load_star(spark, tables, root, own)
         finally:
             own.discard()
-    # A frame over files keeps the file list of its first reading, so all steps see the same input.
+    pinned = tables if isinstance(tables, Snapshot) else None
+    if pinned:
+        tables = pinned.tables(spark)
     problems = verify(tables, STAR_INPUTS)
     if problems:
         raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
@@ -36,7 +42,8 @@ def load_star(spark: SparkSession, tables: Tables, root: str, ws: Workspace | No
     # Members that an earlier version has numbered keep their keys.
     known = {dim: df for m, df in publish.published_if_any(spark, root, gold.KEY_MAPS).items() for dim in [gold.KEY_MAPS[m]]}
     results = publish.publish(spark, root, lambda keep: gold.build(tables, ws, keep, known),
-                              check=lambda written: gold_quality.analyse(written, tables))
+                              check=lambda written: gold_quality.analyse(written, tables),
+                              before_switch=pinned.guard(spark) if pinned else None)
     done = publish.read_published(spark, root, gold.KEYS)
     publish.write_report(results, root, "Qualidade da Gold", {
         "contagens": gold_quality.counts(done), "uso_desconhecidos": gold_quality.unknown_use(done),
@@ -72,7 +79,7 @@ def validate(spark: SparkSession, landed: Tables, crosswalk: DataFrame, tables:
 
 
 def _write_all(tables: Tables, root: str) -> None:
-    together(lambda name: publish.write_table(tables[name], f"{root}/{name}"), tables)
+    together(lambda name: publish.write_table(tables[name], f"{root}/{name}", integration.ORDER.get(name, ())), tables)
 
 
 def run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path: str | None, root: str,
@@ -118,6 +125,6 @@ def _run(spark: SparkSession, sources: Sequence[landing.Source], crosswalk_path:
         results = validate(spark, landed, places["de_para"], joined, tags, f"{root}/silver", more)
         summary["validacao"] = C.outcome(results).first().asDict()
     if last >= 4:
-        results = load_star(spark, {t: joined[t] for t in STAR_INPUTS}, f"{root}/gold", ws)
+        results = load_star(spark, snapshot.pin(spark, {t: f"{root}/silver/{t}" for t in STAR_INPUTS}), f"{root}/gold", ws)
         summary["gold"] = C.outcome(results).first().asDict()
     return summary

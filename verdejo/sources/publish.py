@@ -4,20 +4,28 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators.checks import FAILED, outcome
 from ..session import together
 from .files import exists, prune, put_text
 
 POINTER, HISTORY = "CURRENT", "HISTORY"
+_BLOCK = 1 << 16  # rows that are checked together
 
 
-def write_table(df: DataFrame, path: str) -> int:
-    """Parquet, or CSV with a header for a path that ends in .csv; returns the rows written."""
+def write_table(df: DataFrame, path: str, order: Sequence[str] = ()) -> int:
+    """Parquet, or CSV with a header for a path that ends in .csv; returns the rows written.
+
+    With ``order`` the rows are totally ordered over the files: each file holds a range of keys and is sorted.
+    """
+    if order:
+        by = [F.col(c).asc_nulls_last() for c in order]
+        df = df.repartitionByRange(*by).sortWithinPartitions(*by)
     if path.endswith(".csv"):
         df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
         # A quoted field may hold line breaks, so the count parses records like a reader would.
@@ -27,6 +35,31 @@ def write_table(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
+def key_ranges(spark: SparkSession, path: str, order: Sequence[str]) -> DataFrame:
+    """A row for each file of a sorted Parquet table: its rows, and its first and last key (NULLs after all values)."""
+    key = F.struct(*(x for c in order for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))))
+    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("arquivo")).agg(
+        F.count(F.lit(1)).alias("linhas"), F.min(key).alias("primeira"), F.max(key).alias("ultima"))
+
+
+def borders(spark: SparkSession, path: str, order: Sequence[str]) -> DataFrame:
+    """One row: rows, files that begin before the file before them ends, rows that stand before a smaller row of their file.
+
+    The borders need the key ranges alone. Within files a row is held against its predecessor by its place in the file,
+    in blocks, each of which takes along the last row of the block before.
+    """
+    ranges = key_ranges(spark, path, order)
+    files = Window.orderBy("arquivo")  # one row for each file
+    over = ranges.withColumn("antes", F.lag("ultima").over(files)).agg(
+        F.coalesce(F.sum("linhas"), F.lit(0)).alias("linhas"), F.count_if(F.col("antes") > F.col("primeira")).alias("arquivos_fora_de_ordem"))
+    key = F.struct(*(x for c in order for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c))))
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"), key.alias("k"))
+    ends = rows.withColumn("b", F.expr(f"i div {_BLOCK}"))
+    ends = ends.unionByName(ends.filter(f"i % {_BLOCK} = {_BLOCK - 1}").withColumn("b", F.col("b") + 1))
+    inside = ends.withColumn("p", F.lag("k").over(Window.partitionBy("f", "b").orderBy("i")))
+    return over.crossJoin(inside.agg(F.count_if(F.col("p") > F.col("k")).alias("linhas_fora_de_ordem")))  # one row each
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     path = f"{root}/{POINTER}"
     if not exists(spark, path):
