@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from verdejo.operators.checks import FAILED, PASSED
 from verdejo.plans import quality
 from verdejo.session import Workspace
-from verdejo.sources import indicators, landing, publish
+from verdejo.sources import indicators, landing, publish, snapshot
 
 NOW, LATER = datetime(2026, 1, 1, 8), datetime(2026, 1, 2, 8)
 
@@ -238,3 +238,45 @@ def test_split_files_must_not_hold_line_breaks(spark, source, tmp_path):
     path.write_text('a,b\n1,"x ""y"""\n2,\n')
     done = landing.land(spark, [landing.Source("t", str(path), "loja", "", multi_line=False)], str(tmp_path / "bronze"), Workspace(spark), NOW)
     assert done[0]["linhas_saida"] == 2
+
+
+def test_inputs_that_change_stop_a_publication(spark, tmp_path):
+    df = spark.range(10).selectExpr("cast(id as string) k")
+    df.write.parquet(str(tmp_path / "in"))
+    pinned = snapshot.pin(spark, {"t": str(tmp_path / "in")})
+    root = str(tmp_path / "out")
+    publish.publish(spark, root, pinned.tables(spark), before_switch=pinned.guard(spark))
+    before = publish.current_version(spark, root)
+    df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert pinned.tables(spark)["t"].count() == 10 and pinned.as_table(spark).count() == len(pinned.files["t"])
+    with pytest.raises(snapshot.InputsChanged, match="novo"):
+        publish.publish(spark, root, pinned.tables(spark), before_switch=pinned.guard(spark))
+    df.write.mode("overwrite").parquet(str(tmp_path / "in"))
+    with pytest.raises(snapshot.InputsChanged, match="sumiu"):
+        pinned.guard(spark)()
+    assert publish.current_version(spark, root) == before and publish.read_published(spark, root, ["t"])["t"].count() == 10
+
+
+def test_sorted_tables_and_their_borders(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("if(id % 50 = 0, null, cast((id * 7919) % 5000 as string)) a", "id % 7 b")
+    path, order = str(tmp_path / "s"), ["a", "b"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert publish.write_table(rows, path, order) == 5000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tuple(publish.borders(spark, path, order).first()) == (5000, 0, 0)
+    ranges = publish.key_ranges(spark, path, order).orderBy("arquivo").collect()
+    assert sum(r.linhas for r in ranges) == 5000 and len(ranges) > 1
+    rows.repartition(4).write.parquet(str(tmp_path / "u"))
+    got = publish.borders(spark, str(tmp_path / "u"), order).first()
+    assert got.arquivos_fora_de_ordem > 0 and got.linhas_fora_de_ordem > 0
+
+
+def test_shape_checks_count_rows(spark, source, tmp_path):
+    landing.land(spark, [source], str(tmp_path / "bronze"), Workspace(spark), NOW)
+    df = landing.landed_tables(spark, str(tmp_path / "bronze"), ["avaliacoes"])["avaliacoes"]
+    bad = {"a": df, "b": df.drop("_fonte"), "c": df.withColumn("cep", F.lit(1)), "d": df.withColumn("_fonte", F.when(F.col("id") == "1", F.col("_fonte")))}
+    got = {r.id: (r.encontrado, r.status, r.detalhes) for r in quality.landed_shape(spark, bad).collect()}
+    assert got["BRZ-EST-002"] == ("5", FAILED, "b._fonte") and got["BRZ-EST-004"] == ("3", FAILED, "c.cep")
+    assert got["BRZ-EST-003"][1] == PASSED

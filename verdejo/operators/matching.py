@@ -27,12 +27,9 @@ def match_names(rows: DataFrame, register: DataFrame, *, block: str, name: str,
     by_key = unique_keys(register, block, key, code).select(
         F.col(block).alias("_kb"), F.col(key).alias("_kk"), F.col(code).alias("_kc"))
     named = rows.join(by_name, (F.col(block) == F.col("_nb")) & (F.col(name) == F.col("_nn")), "left").drop("_nb", "_nn")
-    # Settled rows do not meet the next pass at all: only open ones travel to a key.
-    settled = named.filter(F.col(out_name).isNotNull()).withColumn(out_key, F.lit(None).cast(dict(register.dtypes)[code]))
-    open_ = (named.filter(F.col(out_name).isNull())
-             .join(by_key, (F.col(block) == F.col("_kb")) & (F.col(key) == F.col("_kk")), "left")
-             .withColumnRenamed("_kc", out_key).drop("_kb", "_kk"))
-    return settled.unionByName(open_)
+    # A settled row keeps its own key and only fails the condition: no empty key gathers rows, and nothing is read twice.
+    return named.join(by_key, (F.col(block) == F.col("_kb")) & (F.col(key) == F.col("_kk")) & F.col(out_name).isNull(), "left"
+                      ).withColumnRenamed("_kc", out_key).drop("_kb", "_kk")
 
 
 def nearest_within(probes: DataFrame, targets: DataFrame, *, block: str, code: str,

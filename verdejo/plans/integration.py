@@ -88,12 +88,9 @@ def resolve(entities: DataFrame, key: str, ref: DataFrame, curated: DataFrame, c
     pair = curated.select(F.col("uf").alias("_cu"), F.col("cidade_normalizada").alias("_cc"),
                           F.col("cod_ibge").alias("_curated"))
     named = _named(base, ref)
-    # Each pass meets only the rows that the passes before have left open.
-    matched = F.coalesce("cod_exato", "cod_chave")
-    curated_type = dict(curated.dtypes)["cod_ibge"]
-    asked = (named.filter(matched.isNull()).join(pair, (F.col("uf") == F.col("_cu")) & (F.col("cidade_normalizada") == F.col("_cc")), "left")
-             .drop("_cu", "_cc"))
-    known = named.filter(matched.isNotNull()).withColumn("_curated", F.lit(None).cast(curated_type)).unionByName(asked)
+    # A row that an earlier pass has settled fails the condition of the later ones; the chain stays one line of joins.
+    open_ = F.col("cod_exato").isNull() & F.col("cod_chave").isNull()
+    known = named.join(pair, (F.col("uf") == F.col("_cu")) & (F.col("cidade_normalizada") == F.col("_cc")) & open_, "left").drop("_cu", "_cc")
     known = known.withColumn("_settled", F.coalesce("cod_exato", "cod_chave", "_curated"))
 
     spots = coords.select(F.col("cep_prefixo").alias("_p"), "latitude", "longitude")
@@ -105,10 +102,7 @@ def resolve(entities: DataFrame, key: str, ref: DataFrame, curated: DataFrame, c
         F.col("cep_prefixo").alias("_np"), F.col("uf").alias("_nu"), "_near", "distancia_km")
 
     spotted = known.join(spots, F.col("cep_prefixo") == F.col("_p"), "left").drop("_p")
-    far = (spotted.filter("_settled is null").join(near, (F.col("cep_prefixo") == F.col("_np")) & (F.col("uf") == F.col("_nu")), "left")
-           .drop("_np", "_nu"))
-    near_types = dict(near.dtypes)
-    placed = spotted.filter("_settled is not null").withColumns({c: F.lit(None).cast(near_types[c]) for c in ("_near", "distancia_km")}).unionByName(far)
+    placed = spotted.join(near, (F.col("cep_prefixo") == F.col("_np")) & (F.col("uf") == F.col("_nu")) & F.col("_settled").isNull(), "left").drop("_np", "_nu")
     code = F.coalesce("_settled", "_near")
     return placed.select(
         "id_entidade", "cep_prefixo", "cidade_original", "cidade_normalizada", "uf", code.alias("cod_ibge"),
