@@ -99,26 +99,26 @@ select cast(p_partkey as varchar) product_id,
   {_size('p_size + 5', 17)} product_height_cm, {_size('p_size + 7', 19)} product_width_cm
 from part""",
     "fx_traducao": """
-select distinct lower(p_type) product_category_name, p_type product_category_name_english
-from part where p_type <> 'PROMO'""",
+select distinct lower(if(p_type = 'PROMO', 'outro ' || p_type, p_type)) product_category_name, p_type product_category_name_english
+from part""",
     "fx_clientes": f"""
-select cast(c_custkey as varchar) customer_id, 'u' || cast(c_custkey % 1000 as varchar) customer_unique_id,
-  lpad(cast(c_custkey % 500 as varchar), 5, '0') customer_zip_code_prefix,
+select cast(c_custkey as varchar) customer_id, 'u' || cast(c_custkey * 2 // 3 as varchar) customer_unique_id,
+  lpad(cast(c_custkey // 3 as varchar), 5, '0') customer_zip_code_prefix,
   {_city('c_custkey')} customer_city, {_state('c_custkey')} customer_state
 from customer join nation on c_nationkey = n_nationkey""",
     "fx_vendedores": f"""
-select cast(s_suppkey as varchar) seller_id, lpad(cast((s_suppkey * 37) % 540 as varchar), 5, '0') seller_zip_code_prefix,
+select cast(s_suppkey as varchar) seller_id, lpad(cast(s_suppkey * 5 + s_suppkey % 40 as varchar), 5, '0') seller_zip_code_prefix,
   {_city('s_suppkey')} seller_city, {_state('s_suppkey')} seller_state
 from supplier join nation on s_nationkey = n_nationkey""",
     "fx_geolocalizacao": f"""
-select lpad(cast(p as varchar), 5, '0') geolocation_zip_code_prefix,
+select lpad(cast(event_id // 20 as varchar), 5, '0') geolocation_zip_code_prefix,
   case when event_id % 89 = 0 or p = 519 then '' when event_id % 83 = 0 then '95.00'
     else cast({_tenths(-3300, 380)} as varchar) end geolocation_lat,
   cast({_tenths(-7400, 400)} as varchar) geolocation_lng,
   case when event_id % 13 = 0 then 'sao' || replace(lower(n_name), '_', '')
     when event_id % 17 = 0 then 'ilha ' || lower(n_name) else 'são ' || lower(n_name) end geolocation_city,
   'R' || cast(n_regionkey as varchar) geolocation_state
-from (select event_id, event_id % 520 p from events)
+from (select event_id, (event_id // 20) % 520 p from events)
 join nation on n_nationkey = case when event_id % 11 = 0 then (p + 5) % 25 else p // 21 end""",
     "fx_municipios": """
 select cast(1100000 + n_nationkey as varchar) id, 'São ' || n_name nome,
@@ -136,9 +136,9 @@ select cast(1100000 + n_nationkey as varchar) cod_ibge, '2017' ano_referencia,
     else cast(cast(10000.50 + n_nationkey * 1234.25 as decimal(18,2)) as varchar) end pib_per_capita
 from nation""",
     "fx_de_para": """
-select 'São ' || n_name cidade_origem, ' xx ' uf_origem, cast(1100000 + n_nationkey as varchar) cod_ibge,
+select if(n_regionkey = 2, 'Outra ', 'São ') || n_name cidade_origem, ' xx ' uf_origem, cast(1100000 + n_nationkey as varchar) cod_ibge,
   'uf divergente: ' || n_name justificativa
-from nation where n_regionkey <> 2""",
+from nation""",
     # cleaned
     "s_pedidos": f"""
 select *, status_pedido = 'delivered' and ts_entrega_cliente is null flag_entrega_ausente,

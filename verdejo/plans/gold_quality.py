@@ -175,7 +175,7 @@ def analyse(gold: Tables, s: Tables) -> DataFrame:
 
 
 def counts(gold: Tables) -> DataFrame:
-    return C.union([_n(df).select(F.lit(t).alias("tabela"), F.col("_n").alias("linhas")) for t, df in gold.items()])
+    return C.union([_n(df).select(F.lit(t).alias("tabela"), F.col("_n").alias("linhas")) for t, df in ((t, gold[t]) for t in KEYS)])
 
 
 def signatures(gold: Tables) -> DataFrame:

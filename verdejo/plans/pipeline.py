@@ -37,7 +37,7 @@ def load_star(spark: SparkSession, tables: Tables | Snapshot, root: str, ws: Wor
         tables = pinned.tables(spark)
     problems = verify(tables, STAR_INPUTS)
     if problems:
-        raise ValueError("Contrato de entrada invalido:\n" + "\n".join(problems))
+        raise ValueError("entradas fora do contrato:\n" + "\n".join(problems))
     gold.require_references(tables)
     # Members that an earlier version has numbered keep their keys.
     known = {dim: df for m, df in publish.published_if_any(spark, root, gold.KEY_MAPS).items() for dim in [gold.KEY_MAPS[m]]}

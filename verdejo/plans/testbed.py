@@ -90,8 +90,9 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def translations(spark: SparkSession, folder: str) -> DataFrame:
-    return source(spark, folder, "part").filter("p_type <> 'PROMO'").select("p_type").distinct().selectExpr(
-        "lower(p_type) as product_category_name", "p_type as product_category_name_english")
+    """One kind of part goes by another name here, so its products find no translation."""
+    return source(spark, folder, "part").select("p_type").distinct().selectExpr(
+        "lower(if(p_type = 'PROMO', concat('outro ', p_type), p_type)) as product_category_name", "p_type as product_category_name_english")
 
 
 def _nations(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,8 +115,8 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     c = source(spark, folder, "customer")
     n = source(spark, folder, "nation")
     return c.join(n, c.c_nationkey == n.n_nationkey).selectExpr(
-        "cast(c_custkey as string) as customer_id", "concat('u', cast(c_custkey % 1000 as string)) as customer_unique_id",
-        "lpad(cast(c_custkey % 500 as string), 5, '0') as customer_zip_code_prefix",
+        "cast(c_custkey as string) as customer_id", "concat('u', cast(c_custkey * 2 div 3 as string)) as customer_unique_id",
+        "lpad(cast(c_custkey div 3 as string), 5, '0') as customer_zip_code_prefix",
         f"{_city('c_custkey')} as customer_city", f"{_state('c_custkey')} as customer_state")
 
 
@@ -124,13 +125,13 @@ def sellers(spark: SparkSession, folder: str) -> DataFrame:
     n = source(spark, folder, "nation")
     return s.join(n, s.s_nationkey == n.n_nationkey).selectExpr(
         "cast(s_suppkey as string) as seller_id",
-        "lpad(cast((s_suppkey * 37) % 540 as string), 5, '0') as seller_zip_code_prefix",
+        "lpad(cast(s_suppkey * 5 + s_suppkey % 40 as string), 5, '0') as seller_zip_code_prefix",
         f"{_city('s_suppkey')} as seller_city", f"{_state('s_suppkey')} as seller_state")
 
 
 def geolocation(spark: SparkSession, folder: str) -> DataFrame:
-    """Prefixes lie along a diagonal, about 21 in a row for each city, with jitter and bad points."""
-    e = source(spark, folder, "events").withColumn("_p", F.expr("event_id % 520"))
+    """Twenty points a prefix; prefixes lie along a diagonal, about 21 in a row for each city, with jitter and bad points."""
+    e = source(spark, folder, "events").withColumn("_p", F.expr("(event_id div 20) % 520"))
     e = e.withColumn("_n", F.expr("cast(case when event_id % 11 = 0 then (_p + 5) % 25 else _p div 21 end as int)"))
     n = source(spark, folder, "nation")
 
@@ -140,7 +141,7 @@ def geolocation(spark: SparkSession, folder: str) -> DataFrame:
     lat = (f"case when event_id % 89 = 0 or _p = 519 then '' when event_id % 83 = 0 then '95.00' "
            f"else cast({tenths(-3300, 380)} as string) end")
     return e.join(n, F.col("_n") == n.n_nationkey).selectExpr(
-        "lpad(cast(_p as string), 5, '0') as geolocation_zip_code_prefix", f"{lat} as geolocation_lat",
+        "lpad(cast(event_id div 20 as string), 5, '0') as geolocation_zip_code_prefix", f"{lat} as geolocation_lat",
         f"cast({tenths(-7400, 400)} as string) as geolocation_lng",
         "case when event_id % 13 = 0 then concat('sao', replace(lower(n_name), '_', '')) "
         "when event_id % 17 = 0 then concat('ilha ', lower(n_name)) "
@@ -174,8 +175,9 @@ def indicators(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    return source(spark, folder, "nation").filter("n_regionkey <> 2").selectExpr(
-        "concat('São ', n_name) as cidade_origem", "' xx ' as uf_origem",
+    """The towns of one region are listed under names that no entity has."""
+    return source(spark, folder, "nation").selectExpr(
+        "concat(if(n_regionkey = 2, 'Outra ', 'São '), n_name) as cidade_origem", "' xx ' as uf_origem",
         "cast(1100000 + n_nationkey as string) as cod_ibge", "concat('uf divergente: ', n_name) as justificativa")
 
 
