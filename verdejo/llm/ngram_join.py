@@ -26,6 +26,8 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +80,24 @@ def size_bounds(most: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+@cache
+def range_count(least: int, most: int) -> int:
+    """The fewest ranges of which a set of ``least`` elements or more fills more than ``most``, but for odd cases.
+
+    Similar sets differ in at most ``most`` ranges, so one that both fill is left to agree on.
+    """
+    def filled(k: int) -> float:
+        empty = k * exp(-least / k)
+        return k - empty - 4 * sqrt(empty)
+    low, high = most + 2 + most // 24, max(8 * least, 2 * most + 4)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if filled(middle) > most else (middle + 1, high)
+    return low
+
+
 def range_digests(values: np.ndarray, bounds: np.ndarray, how: Similarity) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and digest of every range of every text."""
+    """Text number and digest of every range that a text fills, or of every range if it fills too few."""
     size = np.diff(bounds)
     steps = size_bounds(int(size.max(initial=1)) * 200 // how.percent + 2)
     own = np.searchsorted(steps, size, side="right") - 1
@@ -89,7 +107,8 @@ def range_digests(values: np.ndarray, bounds: np.ndarray, how: Similarity) -> tu
     for chosen, level in ((np.flatnonzero(size > 0), own), (np.flatnonzero((size > 0) & (reach > own)), own + 1)):
         top = steps[level[chosen] + 1] - 1
         most = top * 2 * (100 - how.percent) // (100 + how.percent)
-        ranges = most + 2 + most // 24
+        least = steps[level[chosen]] * how.percent // 100  # the smallest set that meets this class
+        ranges = np.array([range_count(a, b) for a, b in zip(least.tolist(), most.tolist())], dtype=np.int64)
         some = most > 0  # else linked sets are equal
         chosen, most, ranges = chosen[some], most[some], ranges[some]
         if not len(chosen):
@@ -107,7 +126,7 @@ def range_digests(values: np.ndarray, bounds: np.ndarray, how: Similarity) -> tu
         texts.append(chosen[of[first]])
         digests.append(mix(sums + part[first] * np.uint64(0xC2B2AE3D27D4EB4F) + k[of[first]] * np.uint64(0x165667B19E3779F9)))
         filled = np.bincount(of[first], minlength=len(chosen))
-        for i in np.flatnonzero(ranges - filled > ranges - most - 1):  # too many empty ranges: they may be all that agrees
+        for i in np.flatnonzero(filled <= most):  # too few filled ranges: the empty ones may be all that agrees
             empty = np.setdiff1d(np.arange(ranges[i], dtype=np.uint64), part[first][of[first] == i])
             texts.append(np.full(len(empty), chosen[i]))
             digests.append(mix(empty * np.uint64(0xC2B2AE3D27D4EB4F) + k[i:i + 1] * np.uint64(0x165667B19E3779F9)))
