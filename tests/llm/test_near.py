@@ -19,6 +19,22 @@ def test_join(spark, how):
     assert got == jaccard_components(rows, how.n, how.percent)
 
 
+@pytest.mark.parametrize("how", [ngram_join.Similarity(), ngram_join.Similarity(5, 80)])
+def test_join_long_texts(spark, how):
+    """Sets on both sides of the size from which sketches are longer, edited by about as much as a link allows."""
+    rng, rows = random.Random(9), []
+    passage = [f"p{i}" for i in range(60)]
+    for size in (500, 690, 700, 760, 1500, 2600):
+        base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        for share in (0, 0.005, 0.015, 0.02, 0.022, 0.025, 0.03, 0.04):
+            words = [("edit%d" % rng.randrange(10**6) if rng.random() < share else w) for w in base]
+            rows.append((len(rows), " ".join(words + passage)))
+        rows.append((len(rows), " ".join(base[:int(size * rng.uniform(0.8, 0.9))])))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.grouped(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark), how).collect()}
+    expected = jaccard_components(rows, how.n, how.percent)
+    assert got == expected and 6 < len({c for _, c in expected.values()}) < len(rows) - 6
+
+
 def test_join_repeated_and_null_ids(spark):
     text = "a b c d e f g h i j"
     df = spark.createDataFrame([(5, text), (5, text), (3, text.upper()), (None, text), (None, "only here and there"), (7, None)], DOCS)

@@ -1,11 +1,12 @@
 """Exact n-gram Jaccard join with a prefix tree.
 
 1. Every whole text becomes a set of n-gram hashes; equal sets are one class from here on.
-2. Hash space is cut into more ranges than two similar sets can differ in elements, so similar sets
-   agree on a whole range. A passage that many texts share can fill a range alone; so sets that share
+2. Hash space is cut into more ranges than two similar sets can differ in elements, so many that they
+   agree on a whole range which is not empty. A passage that many texts share can fill a range alone; so sets that share
    the digest of a range join a family only if their parity sketches allow it: each element flips one
-   of 512 bits, so similar sets differ in no more bits than elements. Families that are large all the
-   same are cut again by fresh ranges, under another hash, as long as that makes them smaller.
+   of 512 bits, for large sets also one of 4 096, so similar sets differ in no more bits than elements.
+   Families that are large all the same are cut again by fresh ranges, under another hash, as long as
+   that makes them smaller.
    Similar sets pass all these tests and are never parted.
 3. In each family the ordered sets, rarest n-gram first, are stored in a prefix tree. A probe walks
    the tree once for all sets that share a beginning, carrying the overlap so far, and leaves a
@@ -39,6 +40,10 @@ from .kit import Scratch, map_batches, signed
 from .words import IN_WORD, Words, columns, mix, windows
 
 
+SHORT_BITS, LONG_BITS = 512, 4096   # of the sketches
+LARGE_SET = 700                     # elements from which a set has the long sketch too
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Two sets link when 100 * intersection >= percent * union."""
@@ -87,9 +92,9 @@ def range_count(least: int, most: int) -> int:
     Similar sets differ in at most ``most`` ranges, so one that both fill is left to agree on.
     """
     def filled(k: int) -> float:
-        empty = k * exp(-least / k)
-        return k - empty - 4 * sqrt(empty)
-    low, high = most + 2 + most // 24, max(8 * least, 2 * most + 4)
+        none = exp(-least / k)
+        return k - k * none - 3 * sqrt(k * none * (1 - (1 + least / k) * none))
+    low, high = most + 2 + most // 24, max(2 * least, 2 * most + 4)
     while low < high:
         middle = (low + high) // 2
         low, high = (low, middle) if filled(middle) > most else (middle + 1, high)
@@ -135,12 +140,20 @@ def range_digests(values: np.ndarray, bounds: np.ndarray, how: Similarity) -> tu
     return np.concatenate(texts), np.concatenate(digests)
 
 
-def sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """512 parity bits of each set, as rows of 64 bytes: |difference of two sets| is at least the number of bits that differ."""
+def sketches(values: np.ndarray, bounds: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bits of each set: |difference of two sets| is at least the number of bits that differ."""
     n = len(bounds) - 1
     of = np.repeat(np.arange(n), np.diff(bounds))
-    flips = np.bincount(of * 512 + (values & np.uint64(511)).astype(np.int64), minlength=512 * n)
-    return np.packbits((flips & 1).astype(np.uint8)).reshape(n, 64)
+    flips = np.bincount(of * bits + (values & np.uint64(bits - 1)).astype(np.int64), minlength=bits * n)
+    return np.packbits((flips & 1).astype(np.uint8)).reshape(n, bits // 8)
+
+
+def all_sketches(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """512 bits of each set, followed by 4 096 more if it is large: few bits say nothing about many differences."""
+    out = [x.tobytes() for x in sketches(values, bounds, SHORT_BITS)]
+    for i in np.flatnonzero(np.diff(bounds) >= LARGE_SET):
+        out[i] += sketches(values[bounds[i]:bounds[i + 1]], np.array([0, bounds[i + 1] - bounds[i]]), LONG_BITS).tobytes()
+    return out
 
 
 def measured(docs: DataFrame, how: Similarity) -> DataFrame:
@@ -159,7 +172,7 @@ def measured(docs: DataFrame, how: Similarity) -> DataFrame:
                 digests = digests[np.argsort(texts, kind="stable")]
                 cuts = np.concatenate(([0], np.cumsum(np.bincount(texts, minlength=b - a)))).tolist()
                 yield {"doc_id": batch.column(0).slice(a, b - a), "n_shingles": size, "d1": signed(total(mix(padded))),
-                       "d2": signed(total(mix(padded ^ np.uint64(0x9E3779B97F4A7C15)))), "sketch": [x.tobytes() for x in sketches(values, bounds)],
+                       "d2": signed(total(mix(padded ^ np.uint64(0x9E3779B97F4A7C15)))), "sketch": all_sketches(values, bounds),
                        "ranges": [digests[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]}
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary, ranges binary")
 
@@ -204,7 +217,13 @@ class Meeting:
     def allowed(self, n: np.ndarray, bits: np.ndarray, m: np.ndarray, others: np.ndarray) -> np.ndarray:
         p = self.how.percent
         most = n + m - 2 * -(-p * (n + m) // (100 + p))
-        return (np.bitwise_count(bits ^ others).sum(axis=-1, dtype=np.int64) <= most) & (100 * np.minimum(n, m) >= p * np.maximum(n, m))
+        short = SHORT_BITS // 64
+        good = (np.bitwise_count(bits[..., :short] ^ others[..., :short]).sum(axis=-1, dtype=np.int64) <= most) & (100 * np.minimum(n, m) >= p * np.maximum(n, m))
+        both = np.flatnonzero(good & (np.minimum(n, m) >= LARGE_SET))
+        bits = np.broadcast_to(bits, others.shape)
+        for at in np.array_split(both, len(both) // 4096 + 1):
+            good[at] = np.bitwise_count(bits[at, short:] ^ others[at, short:]).sum(axis=-1, dtype=np.int64) <= most[at]
+        return good
 
     def groups(self, digest: np.ndarray, node: np.ndarray, n: np.ndarray, bits: np.ndarray) -> None:
         first = np.flatnonzero(np.concatenate(([True], digest[1:] != digest[:-1])))
@@ -250,7 +269,8 @@ def meetings(rows: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
         meeting, held = Meeting(how), None  # rows of the digest that the next batch may go on with
         for batch in batches:
             own = [batch.column(i).to_numpy() for i in (0, 1, 2)]
-            own.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64).reshape(-1, 8))
+            full = (SHORT_BITS + LONG_BITS) // 8
+            own.append(np.frombuffer(b"".join(x.ljust(full, b"\x00") for x in batch.column(3).to_pylist()), dtype=np.uint64).reshape(-1, full // 8))
             if held is not None:
                 own = [np.concatenate(x) for x in zip(held, own)]
             cut = np.searchsorted(own[0], own[0][-1])
