@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plain import DOCS, WORD, benchmark_hits, corpus, kept_words, lower, prose, statistics
-from verdejo.llm import debruijn, decontaminate, gru_lm, packing, quality_rules
+from verdejo.llm import debruijn, decontaminate, gru_lm, ngram_join, packing, quality_rules
 from verdejo.llm.kit import Scratch
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -92,7 +92,7 @@ def test_one_block_of_the_benchmark_is_held(spark):
 def test_decontaminated_rows_keep_their_columns(spark):
     df = spark.createDataFrame([(1, "short item", "a"), (2, "fine text here", "b"), (3, None, "c")], DOCS + ", _key string")
     kept = decontaminate.kept_documents(df, spark.createDataFrame(ITEMS, "item_id long, text string"), Scratch(spark))
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+    assert kept.schema == df.schema and sorted((r.doc_id, r._key) for r in kept.collect()) == [(2, "b"), (3, "c")]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.judged(df, empty).where("contaminated").count() == 0
     assert decontaminate.judged(df.limit(0), empty).count() == 0
@@ -278,3 +278,13 @@ def test_plans_place_every_piece_once(seed):
 def test_fold_of_null_id_is_training(spark):
     row = spark.createDataFrame([(None,)], "doc_id long").select(gru_lm.held_out().alias("h"), F.lit(1)).first()
     assert row.h is False
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, good, "a", 7), (2, "too short", "b", 8), (3, good, "c", 9)], DOCS + ", _key string, _gone int")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    ruled = quality_rules.kept_documents(df, labels, Scratch(spark))
+    assert ruled.schema == df.schema and sorted(map(tuple, ruled.collect())) == [(1, good, "a", 7), (3, good, "c", 9)]
+    led = ngram_join.representatives(df, Scratch(spark))
+    assert led.schema == df.schema and sorted(map(tuple, led.collect())) == [(1, good, "a", 7), (2, "too short", "b", 8)]

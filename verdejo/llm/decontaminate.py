@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import Scratch, map_batches, row_key
+from .kit import Scratch, map_batches, row_key, rows_by
 from .words import IN_ALNUM, Words, columns
 
 LEVELS = 16
@@ -297,5 +297,5 @@ def judged(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Dat
 
 def kept_documents(docs: DataFrame, benchmark: DataFrame, ws: Scratch, how: Search = Search()) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
-    bad = ws.keep("contaminated", judged(docs, benchmark, how).where("contaminated").select("key").distinct())
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(bad, F.col("_key") == bad["key"], "left_anti").select(*docs.columns)
+    bad = ws.keep("contaminated", judged(docs, benchmark, how).where("contaminated").select(F.col("key").alias("_key")).distinct())
+    return rows_by(docs, row_key("doc_id", "text")).join(bad, "_key", "left_anti").select("_row.*")

@@ -45,6 +45,11 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns))
 
 
+def rows_by(docs: DataFrame, key: Column) -> DataFrame:
+    """``_row``, a whole row of ``docs``, and ``_key``; ``select("_row.*")`` gives the rows back, whatever their columns are called."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_key"))
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 

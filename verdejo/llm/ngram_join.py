@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import links
-from .kit import Scratch, map_batches, signed
+from .kit import Scratch, map_batches, rows_by, signed
 from .words import IN_WORD, Words, columns, mix, windows
 
 
@@ -475,6 +475,6 @@ def grouped(docs: DataFrame, ws: Scratch, how: Similarity = Similarity()) -> Dat
 def representatives(docs: DataFrame, ws: Scratch, how: Similarity = Similarity()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that lead their component; rows with empty sets, and without any
     id in reach, stay. Of rows that repeat a leading id and text, all stay."""
-    found = grouped(docs, ws, how).where("component_id is not null and not (component_id <=> doc_id)").select(F.col("doc_id").alias("_gone")).distinct()
+    found = grouped(docs, ws, how).where("component_id is not null and not (component_id <=> doc_id)").where("doc_id is not null").select(F.col("doc_id").alias("_key")).distinct()
     gone = ws.keep("gone", found)
-    return docs.join(gone.where("_gone is not null"), F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    return rows_by(docs, F.col("doc_id")).join(gone, "_key", "left_anti").select("_row.*")

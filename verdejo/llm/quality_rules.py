@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kit import Scratch, row_key
+from .kit import Scratch, row_key, rows_by
 
 BLANK = " \t\n\x0b\x0c\r"
 BREAKS = r"[ \t-\r]+"
@@ -193,4 +193,4 @@ def judged(docs: DataFrame, labels: DataFrame, ws: Scratch, how: Learning = Lear
 def kept_documents(docs: DataFrame, labels: DataFrame, ws: Scratch, how: Learning = Learning()) -> DataFrame:
     """The rows of ``docs`` that the list keeps, with all their columns."""
     good = judged(docs, labels, ws, how).where("kept").select("_key").distinct()
-    return docs.withColumn("_key", row_key("doc_id", "text")).join(good, "_key", "left_semi").select(*docs.columns)
+    return rows_by(docs, row_key("doc_id", "text")).join(good, "_key", "left_semi").select("_row.*")
