@@ -57,10 +57,10 @@ def main() -> None:
     sources = extracts(w)
     landed: list[dict] = []
     timed("stage_land_csv", lambda: landed.extend(landing.land(spark, sources, f"{w.ws.root}/bronze", w.ws)))
-    timed("stage_clean", lambda: w.silver)
-    timed("stage_places", lambda: w.places)
-    timed("stage_distances", lambda: w.integrated)
-    timed("stage_star", lambda: w.gold)
+    timed("stage_clean", lambda: w.silver.all())
+    timed("stage_places", lambda: w.places.all())
+    timed("stage_distances", lambda: w.integrated.all())
+    timed("stage_star", lambda: w.gold.all())
     for name in HEADLINE:
         if only and name not in only:
             continue

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,25 +20,46 @@ REGISTER_FILES = 8
 
 
 class Extracts:
-    """CSV files of every landed table and JSON files of the register, landed twice: nothing changes in between."""
+    """CSV files of every landed table and JSON files of the register, landed twice: nothing changes in between.
+
+    Files are written and landed when a query asks for them, so a query that reads none of them pays for none.
+    """
 
     def __init__(self, w: Warehouse):
         self.w, self.spark, self.root = w, w.spark, f"{w.ws.root}/extracts"
-        self.sources = self._written()
-        self.crosswalk = next(s.path for s in self.sources if s.table == "de_para")
-        self.sources = [s for s in self.sources if s.table != "de_para"]
         self.bronze = f"{self.root}/bronze"
-        self.first = landing.land(self.spark, self.sources, self.bronze, w.ws, FIRST)
-        self.second = landing.land(self.spark, self.sources, self.bronze, w.ws, SECOND)
-        self.landed = landing.landed_tables(self.spark, self.bronze, [s.table for s in self.sources])
+        self.sources = [landing.Source(name, f"{self.root}/raw/{name}", TAG, "extrato", multi_line=name in landing.FREE_TEXT)
+                        for name in w.raw if name != "de_para"]
+        self.landings: dict[str, tuple[dict, dict]] = {}
 
-    def _written(self) -> list[landing.Source]:
-        def one(name: str) -> landing.Source:
-            path = f"{self.root}/raw/{name}"
+    def _write(self, name: str) -> str:
+        path = f"{self.root}/raw/{name}"
+        if not landing.exists(self.spark, path):
             self.w.raw[name].write.option("header", True).option("quoteAll", True).option("escape", '"').option(
                 "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-            return landing.Source(name, path, TAG, "extrato", multi_line=name in landing.FREE_TEXT)
-        return together(one, list(self.w.raw))
+        return path
+
+    @cached_property
+    def crosswalk(self) -> str:
+        return self._write("de_para")
+
+    def _land(self, *tables: str) -> list[tuple[dict, dict]]:
+        """What the first and the second landing of each table tell."""
+        new = [t for t in tables if t not in self.landings]
+        if new:
+            together(self._write, new)
+            first, second = (landing.land(self.spark, self.sources, self.bronze, self.w.ws, when, new) for when in (FIRST, SECOND))
+            self.landings.update(zip(new, zip(first, second)))
+        return [self.landings[t] for t in tables]
+
+    @property
+    def tables(self) -> list[str]:
+        return [s.table for s in self.sources]
+
+    @property
+    def landed(self) -> dict[str, DataFrame]:
+        self._land(*self.tables)
+        return landing.landed_tables(self.spark, self.bronze, self.tables)
 
     def register(self) -> DataFrame:
         """The register written as arrays of nested records, one array a file, and read back flat."""
@@ -60,11 +82,12 @@ class Extracts:
     def landed_again(self) -> DataFrame:
         """Per table: rows of the source and of the output, columns, and whether the second landing kept the first one's time."""
         rows = [(a["tabela"], a["linhas_entrada"], b["linhas_saida"], a["colunas_dados"], a["fonte_alterada"], b["fonte_alterada"], b["data_ingestao"] == FIRST)
-                for a, b in zip(self.first, self.second)]  # a row for each source
+                for a, b in self._land(*self.tables)]  # a row for each source
         return self.spark.createDataFrame(rows, "tabela string, linhas_entrada long, linhas_saida long, colunas int, nova boolean, alterada boolean, data_mantida boolean")
 
     def manifest(self) -> DataFrame:
         """The manifest against the fingerprints of the sources as they are now."""
+        self._land(*self.tables)
         known = landing.load_manifest(self.spark, self.bronze)
         now = self.spark.createDataFrame(
             list(zip([s.table for s in self.sources], together(lambda s: landing.fingerprint(self.spark, s), self.sources))), "t string, agora string")
@@ -72,12 +95,15 @@ class Extracts:
             "tabela", "arquivo_origem", "data_ingestao", "linhas", F.length("sha256").alias("digitos"), (F.col("sha256") == F.col("agora")).alias("igual"))
 
     def rows(self, table: str) -> DataFrame:
-        return self.landed[table].drop("_arquivo_origem", "_linha_origem")
+        self._land(table)
+        return landing.landed_tables(self.spark, self.bronze, [table])[table].drop("_arquivo_origem", "_linha_origem")
 
     def numbers(self) -> DataFrame:
         """Per table: files, rows, and files whose record numbers are not 1..N."""
+        landed = self.landed
+
         def one(table: str) -> DataFrame:
-            files = self.landed[table].groupBy("_arquivo_origem").agg(
+            files = landed[table].groupBy("_arquivo_origem").agg(
                 F.count(F.lit(1)).alias("n"), F.min("_linha_origem").alias("a"), F.max("_linha_origem").alias("b"), F.countDistinct("_linha_origem").alias("d"))
             return files.agg(F.sum("n").alias("linhas"), F.count_if((F.col("a") != 1) | (F.col("b") != F.col("n")) | (F.col("d") != F.col("n"))).alias("arquivos_com_falha")
                              ).select(F.lit(table).alias("tabela"), "linhas", "arquivos_com_falha")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import ChainMap
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from ..operators import checks as C
 from ..operators.keys import all_ids
 from ..operators.signature import key_changes
-from ..session import Workspace, together
+from ..session import Lazy, Workspace, together
 from . import gold
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "dim_cliente": gold.dim_customer, "dim_produto": gold.dim_product, "dim_vendedor": gold.dim_seller,
@@ -30,11 +31,13 @@ def bought_before(s: Tables, day: date) -> Tables:
     def met(table: str, key: str, seen: DataFrame) -> DataFrame:
         return s[table].join(seen.select(F.col(key).alias("_seen")).distinct(), F.col(key) == F.col("_seen"), "left_semi")
 
-    items = met("itens_pedido", "order_id", ids)
-    buyers = met("clientes_municipios", "customer_id", ids)
-    return {**s, "pedidos": orders, "itens_pedido": items, "pagamentos": met("pagamentos", "order_id", ids), "clientes_municipios": buyers,
-            "clientes": met("clientes", "customer_id", ids), "produtos": met("produtos", "product_id", items),
-            "vendedores": met("vendedores", "seller_id", items), "geografia_integrada": met("geografia_integrada", "cod_ibge", buyers.filter("cod_ibge is not null"))}
+    out = Lazy({
+        "pedidos": lambda: orders, "itens_pedido": lambda: met("itens_pedido", "order_id", ids),
+        "pagamentos": lambda: met("pagamentos", "order_id", ids), "clientes_municipios": lambda: met("clientes_municipios", "customer_id", ids),
+        "clientes": lambda: met("clientes", "customer_id", ids), "produtos": lambda: met("produtos", "product_id", out["itens_pedido"]),
+        "vendedores": lambda: met("vendedores", "seller_id", out["itens_pedido"]),
+        "geografia_integrada": lambda: met("geografia_integrada", "cod_ibge", out["clientes_municipios"].filter("cod_ibge is not null"))})
+    return ChainMap(out, s)
 
 
 def load(s: Tables, ws: Workspace, known: Tables | None = None) -> Tables:
