@@ -2,6 +2,8 @@
 
 import time
 
+from pyspark.sql import functions as F
+
 from verdejo.plans import gold, integration, panel
 from verdejo.plans.extracts import Extracts
 from verdejo.plans.warehouse import Warehouse
@@ -47,3 +49,17 @@ def test_one_table_lands_alone(spark):
     x = Extracts(Warehouse(spark, FOLDER))
     assert x.rows("vendedores").count() == x._land("vendedores")[0][1]["linhas_saida"] > 0
     assert list(x.landings) == ["vendedores"] and not exists(spark, f"{x.root}/raw/pedidos")
+
+
+def test_order_totals_send_an_item_once_for_each_grouping(spark):
+    rows = [("a", "s1", "p1", 1), ("a", "s1", "p2", 2), ("a", None, "p2", 3), ("b", None, None, 4)]
+    items = spark.createDataFrame(rows, "order_id string, seller_id string, product_id string, n int").select(
+        "*", *(F.col("n").cast("decimal(18,2)").alias(c) for c in ("preco_produto", "valor_frete", "valor_total_item")))
+    orders = spark.createDataFrame([("a",), ("b",), ("c",)], "order_id string")
+    for c in ("sk_tempo_compra", "sk_tempo_entrega", "sk_cliente", "sk_geo_cliente", "sk_pagamento", "status_pedido", "valor_total_pago", "dias_ate_entrega",
+              "dias_atraso", "flag_atraso", "nota_avaliacao", "flag_possui_avaliacao", "flag_entrega_ausente", "metodo_match_municipio"):
+        orders = orders.withColumn(c, F.lit("x"))
+    fact = gold.fact_orders(orders, items)
+    got = {r.order_id: (r.quantidade_itens, r.quantidade_vendedores, r.quantidade_produtos, int(r.valor_total_pedido)) for r in fact.collect()}
+    assert got == {"a": (3, 1, 2, 6), "b": (1, 0, 0, 4), "c": (0, 0, 0, 0)}
+    assert "Expand" not in fact._jdf.queryExecution().executedPlan().toString()
