@@ -280,3 +280,21 @@ def test_shape_checks_count_rows(spark, source, tmp_path):
     got = {r.id: (r.encontrado, r.status, r.detalhes) for r in quality.landed_shape(spark, bad).collect()}
     assert got["BRZ-EST-002"] == ("5", FAILED, "b._fonte") and got["BRZ-EST-004"] == ("3", FAILED, "c.cep")
     assert got["BRZ-EST-003"][1] == PASSED
+
+
+def test_an_unchanged_source_is_not_written_again(spark, tmp_path):
+    path, root, ws = tmp_path / "orders.csv", str(tmp_path / "bronze"), Workspace(spark)
+    path.write_text("a,b\n1,2\n")
+    source = landing.Source("pedidos", str(path), "loja", "")
+    versions = lambda: {p.name for p in (tmp_path / "bronze" / "pedidos").iterdir()}
+    landing.land(spark, [source], root, ws, NOW)
+    first = versions()
+    again = landing.land(spark, [source], root, ws, LATER)[0]
+    assert versions() == first and (again["linhas_entrada"], again["linhas_saida"], again["data_ingestao"]) == (1, 1, NOW)
+    # another tag, or rows that are gone, are reasons to write
+    landing.land(spark, [landing.Source("pedidos", str(path), "outra", "")], root, ws, LATER)
+    assert len(versions()) == 2 and landing.landed_tables(spark, root, ["pedidos"])["pedidos"].first()._fonte == "outra"
+    for part in (tmp_path / "bronze").glob(f"{landing.load_manifest(spark, root).first().pasta}/*.parquet"):
+        spark.createDataFrame([], spark.read.parquet(str(part)).schema).write.mode("overwrite").parquet(str(part.parent))
+    landing.land(spark, [source], root, ws, LATER)
+    assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 1

@@ -222,6 +222,15 @@ def ingest_time(entry: tuple | None, digest: str, output_exists: bool, now: date
     return now, True
 
 
+def _still_there(spark: SparkSession, path: str, landed: DataFrame, tag: str, rows: int) -> bool:
+    """Whether a table holds so many rows of the columns and the tag that a landing would write."""
+    there = spark.read.parquet(path)
+    if [(f.name, f.dataType) for f in there.schema] != [(f.name, f.dataType) for f in landed.schema]:
+        return False
+    found = there.agg(F.count(F.lit(1)), F.count_if(~F.col("_fonte").eqNullSafe(F.lit(tag)))).first()
+    return tuple(found) == (rows, 0)
+
+
 def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspace, now: datetime | None = None,
          tables: Iterable[str] | None = None) -> list[dict]:
     """Writes every source under ``root`` and returns one summary per table.
@@ -229,7 +238,8 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
     A source is counted block by block, and written with record numbers from those counts; the rows that pass the
     writer and the rows that the written table holds are counted too, and all three have to agree. A table's new
     version lies beside the earlier one until the manifest, one small file, names it; the earlier one then stays for
-    its readers until the next landing.
+    its readers until the next landing that writes. A source with the fingerprint of its last landing is counted, but
+    not written again while the table of that landing holds as many rows of the same columns and tag.
     """
     picked = chosen(sources, tables)
     require(spark, picked)
@@ -246,15 +256,20 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
             raise UnexpectedStructure(f"{source.table}: {split} linhas com aspas abertas; a origem precisa de multi_line")
         when, changed = ingest_time(entry, digest, bool(entry) and exists(spark, f"{root}/{entry[6]}"), now)
         landed = with_lineage(df, source.tag, when, blocks)
+        expected = blocks.agg(F.sum("_n")).first()[0] or 0
+        name = source.path.rstrip("/").rsplit("/", 1)[-1]
+        if not changed and _still_there(spark, f"{root}/{entry[6]}", landed, source.tag, expected):
+            entries[source.table] = (source.table, name, source.path, digest, when, expected, entry[6])
+            done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": expected, "colunas_dados": len(df.columns),
+                         "data_ingestao": when, "fonte_alterada": False, "sha256": digest, "_antes": entry[6]})
+            return
         folder = f"{source.table}/versao={uuid.uuid4().hex}"
         passed = Observation()
         landed.observe(passed, F.count(F.lit(1)).alias("n")).write.option("compression", "snappy").parquet(f"{root}/{folder}")
-        expected = blocks.agg(F.sum("_n")).first()[0] or 0
         written = spark.read.parquet(f"{root}/{folder}").count()
         if not written == expected == passed.get["n"]:
             remove(spark, f"{root}/{folder}")
             raise CountMismatch(f"{source.table}: {expected} registros na origem, {passed.get['n']} entregues, {written} gravados")
-        name = source.path.rstrip("/").rsplit("/", 1)[-1]
         entries[source.table] = (source.table, name, source.path, digest, when, written, folder)
         done.append({"tabela": source.table, "linhas_entrada": expected, "linhas_saida": written, "colunas_dados": len(df.columns),
                      "data_ingestao": when, "fonte_alterada": changed, "sha256": digest, "_antes": entry[6] if entry else None})
@@ -266,7 +281,10 @@ def land(spark: SparkSession, sources: Sequence[Source], root: str, ws: Workspac
         if done:
             _store_manifest(spark, root, entries)
             for d in done:
-                kept = [entries[d["tabela"]][6], d.pop("_antes")]
+                current, before = entries[d["tabela"]][6], d.pop("_antes")
+                if current == before:
+                    continue  # nothing was written, so nothing goes
+                kept = [current, before]
                 prune(spark, f"{root}/{d['tabela']}", "versao=", [f.rsplit("/", 1)[-1] for f in kept if f])
     order = [s.table for s in picked]
     return sorted(done, key=lambda d: order.index(d["tabela"]))
