@@ -98,6 +98,9 @@ def test_facts_lay_the_items_out_once(spark):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
         fact = gold.fact_items({"itens_pedido": items, "distancias_itens": far}, {"dim_produto": goods, "dim_vendedor": shops}, context)
         assert len([x for x in layouts(fact) if x.startswith(("order_id", "_o", "_d"))]) == 3, layouts(fact)  # items, orders, distances
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        small = gold.fact_items({"itens_pedido": items, "distancias_itens": far}, {"dim_produto": goods, "dim_vendedor": shops}, context)
+        assert [x.split("#")[0] for x in layouts(small) if x.startswith(("order_id", "_o", "_d"))] == ["order_id", "_o"], layouts(small)  # few distances are sent, the layout stays
         assert fact.agg(F.count("*"), F.countDistinct("order_item_id"), F.sum("distancia_km")).first() == (2 * n, 2 * n, 3.0 * n)
     finally:
         for k, v in before.items():
