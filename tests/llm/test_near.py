@@ -126,3 +126,22 @@ def test_short_lines_and_lines_without_blanks(spark):
 def test_normal_form_keeps_letters_and_digits(spark):
     row = spark.createDataFrame([("  Één, 2-mal!\tTest_x ",)], "t string").select(line_dedup.normal(F.col("t")).alias("n")).first()
     assert row.n == "één 2 mal test x"
+
+
+def test_repeated_rows_keep_the_hash_of_a_line(spark):
+    line, rows = "one two two three four five six seven", lambda n: spark.createDataFrame([(1, "one two two three four five six seven\n\nx")] * n, DOCS)
+    one, many = ({(r.line_no, r.h, r.s, r.n_words) for r in line_dedup.hashed_lines(rows(n), line_dedup.Fuzziness()).collect()} for n in (1, 3))
+    assert many == one and {n for *_, n in one} == {len(line.split()), 1}
+    assert line_dedup.hashed_lines(rows(3), line_dedup.Fuzziness()).count() == 6
+
+
+def test_lines_of_unlike_length_are_not_paired(spark):
+    class Seen(Scratch):
+        def keep(self, name, df):
+            kept = super().keep(name, df)
+            sizes[name] = kept.count()
+            return kept
+    sizes = {}
+    rows = [(n, "the " * int(20 * 1.3 ** n) + f"end{n}") for n in range(12)]  # one SimHash, since one word is most of each
+    got = line_dedup.deduped(spark.createDataFrame(rows, DOCS), Seen(spark)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == rows and sizes["led"] == 0
