@@ -145,3 +145,38 @@ def test_lines_of_unlike_length_are_not_paired(spark):
     rows = [(n, "the " * int(20 * 1.3 ** n) + f"end{n}") for n in range(12)]  # one SimHash, since one word is most of each
     got = line_dedup.deduped(spark.createDataFrame(rows, DOCS), Seen(spark)).collect()
     assert sorted((r.doc_id, r.text) for r in got) == rows and sizes["led"] == 0
+
+
+def test_short_lines_with_an_edit_are_compared(spark):
+    rng, rows = random.Random(4), []
+    for n in range(60):
+        line = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(9, 14))) for _ in range(rng.randint(1, 4)))
+        at = rng.randrange(len(line.split()[0]))
+        rows += [(2 * n, line), (2 * n + 1, line[:at] + "q" + line[at + 1:])]
+    got = {r.doc_id: r.text for r in line_dedup.deduped(spark.createDataFrame(rows, DOCS), Scratch(spark)).collect()}
+    expected, cut = _lines_brute(spark, rows, line_dedup.Fuzziness())
+    assert got == expected and cut >= 10
+
+
+@pytest.mark.parametrize("how", [line_dedup.Fuzziness(crowd=3), line_dedup.Fuzziness(distance=12, blocks=14, percent=70, least_words=2, crowd=2)])
+def test_crowded_blocks_lose_no_link(spark, how):
+    rng = random.Random(8)
+    rows = []
+    for d in range(60):
+        words = ["the"] * 12 + ["of"] * rng.randint(4, 12) + ["and"] * rng.randint(1, 8)
+        words += [rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(rng.randint(0, 6))]
+        rng.shuffle(words)
+        rows += [(2 * d, " ".join(words)), (2 * d + 1, " ".join(words[:-1] + [rng.choice(["x", "edit", words[-1] + "s"])]))]
+    expected, cut = _lines_brute(spark, rows, how)
+    got = line_dedup.deduped(spark.createDataFrame(rows, DOCS), Scratch(spark), how).collect()
+    assert cut > 20 and {r.doc_id: r.text for r in got} == expected
+
+
+def test_crowded_blocks_are_not_compared_row_by_row(spark):
+    """Lines of one frequent word share their blocks; those that cannot be alike share no cell."""
+    rows = [(n, 7 if n % 2 else -1, 10 + 5 * n * n, 1) for n in range(300)]
+    df = line_dedup.cells(spark.createDataFrame(rows, "h long, s long, size int, block long"), line_dedup.Fuzziness(crowd=20))
+    most = df.groupBy("cell").count().agg(F.max("count")).first()[0]
+    assert most <= 30 and df.select("h").distinct().count() == 300
+    alone = line_dedup.cells(spark.createDataFrame([(1, 5, 30, 1), (2, 5, 30, 2)], "h long, s long, size int, block long"), line_dedup.Fuzziness())
+    assert alone.count() == 0
