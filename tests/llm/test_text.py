@@ -288,3 +288,32 @@ def test_kept_rows_keep_columns_of_any_name(spark):
     assert ruled.schema == df.schema and sorted(map(tuple, ruled.collect())) == [(1, good, "a", 7), (3, good, "c", 9)]
     led = ngram_join.representatives(df, Scratch(spark))
     assert led.schema == df.schema and sorted(map(tuple, led.collect())) == [(1, good, "a", 7), (2, "too short", "b", 8)]
+
+
+@pytest.mark.parametrize("scale", [1, 60, 4000])
+def test_softmax_in_blocks_and_of_any_size(scale, monkeypatch):
+    rng = np.random.default_rng(6)
+    h, w, b, target = rng.normal(size=(40, 4)), rng.normal(size=(4, 9)) * scale, rng.normal(size=9), rng.integers(0, 9, 40)
+    logits = h @ w + b
+    share = np.exp(logits - logits.max(axis=1, keepdims=True))
+    total = share.sum(axis=1)
+    expected = (logits - logits.max(axis=1, keepdims=True))[np.arange(40), target] - np.log(total)
+    error = share / total[:, None] - np.eye(9)[target]
+    for held in (1 << 17, 27):
+        monkeypatch.setattr(gru_lm, "SHARES", held)
+        got = gru_lm.softmax(h, w, b, target, True)
+        for x, y in zip(got, (expected, error @ w.T, h.T @ error, error.sum(axis=0))):
+            assert np.allclose(x, y, rtol=1e-9, atol=1e-9 * scale)
+
+
+def test_steps_in_blocks_equal_whole_steps(monkeypatch):
+    grads = {n: None for n in gru_lm.Network.NAMES}
+
+    def learned(block):
+        monkeypatch.setattr(gru_lm.Adam, "BLOCK", block)
+        network = gru_lm.Network(np.arange(40, 0, -1.0), gru_lm.Model(classes=5, hidden=4))
+        adam, rng = gru_lm.Adam(network, 0.01), np.random.default_rng(2)
+        for _ in range(3):
+            adam.update({n: rng.normal(size=getattr(network, n).shape).astype(np.float32) for n in grads}, 0.5)
+        return network.parameters()
+    assert all((a == b).all() for a, b in zip(learned(7), learned(1 << 20)))
