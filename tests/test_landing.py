@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdejo.operators.checks import FAILED, PASSED
-from verdejo.plans import quality
+from verdejo.plans import gold_quality, quality
 from verdejo.session import Workspace
 from verdejo.sources import indicators, landing, publish, snapshot
 
@@ -298,3 +298,27 @@ def test_an_unchanged_source_is_not_written_again(spark, tmp_path):
         spark.createDataFrame([], spark.read.parquet(str(part)).schema).write.mode("overwrite").parquet(str(part.parent))
     landing.land(spark, [source], root, ws, LATER)
     assert landing.landed_tables(spark, root, ["pedidos"])["pedidos"].count() == 1
+
+
+def test_checks_in_parts_run_one_after_the_other(spark, tmp_path):
+    from verdejo.operators import checks as C
+    df = spark.createDataFrame([(i, i % 3) for i in range(9)], "k long, v long")
+
+    def checks(done):
+        return [C.rows(done["t"], [(C.Check(f"{n}-{i}", "c", "t"), F.col("k") < 0) for i in range(2)]) for n in "ab"]
+    apart = publish.publish(spark, str(tmp_path / "apart"), {"t": df}, check=checks)
+    whole = publish.publish(spark, str(tmp_path / "whole"), {"t": df}, check=lambda done: C.union(checks(done)))
+    assert [r.id for r in apart.collect()] == ["a-0", "a-1", "b-0", "b-1"]
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, whole.collect())) and apart.schema == whole.schema
+    with pytest.raises(ValueError, match="b-1"):
+        publish.publish(spark, str(tmp_path / "bad"), {"t": df}, check=lambda done: [
+            *checks(done)[:1], C.rows(done["t"], [(C.Check("b-1", "c", "t"), F.col("k") > 3)])])
+
+
+def test_checks_of_the_star_are_the_families_together(spark):
+    from verdejo.plans.warehouse import open_warehouse
+    w = open_warehouse(spark, "/root/testdata/sf0.001")
+    gold, s = w.gold.all(), w.contract
+    parts = gold_quality.families(gold, s)
+    assert len(parts) > 1
+    assert [r.id for p in parts for r in p.collect()] == [r.id for r in gold_quality.analyse(gold, s).collect()]

@@ -121,7 +121,7 @@ class Extracts:
         root = f"{self.root}/gold"
         if publish.current_version(self.spark, root) is None:
             contract = self.w.contract
-            publish.publish(self.spark, root, lambda keep: gold.build(contract, self.w.ws, keep), check=lambda done: gold_quality.analyse(done, contract))
+            publish.publish(self.spark, root, lambda keep: gold.build(contract, self.w.ws, keep), check=lambda done: gold_quality.families(done, contract))
         return publish.read_published(self.spark, root, gold.KEYS)
 
     def published_counts(self) -> DataFrame:

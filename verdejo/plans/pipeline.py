@@ -42,7 +42,7 @@ def load_star(spark: SparkSession, tables: Tables | Snapshot, root: str, ws: Wor
     # Members that an earlier version has numbered keep their keys.
     known = {dim: df for m, df in publish.published_if_any(spark, root, gold.KEY_MAPS).items() for dim in [gold.KEY_MAPS[m]]}
     results = publish.publish(spark, root, lambda keep: gold.build(tables, ws, keep, known),
-                              check=lambda written: gold_quality.analyse(written, tables),
+                              check=lambda written: gold_quality.families(written, tables),
                               before_switch=pinned.guard(spark) if pinned else None)
     done = publish.read_published(spark, root, gold.KEYS)
     publish.write_report(results, root, "Qualidade da Gold", {

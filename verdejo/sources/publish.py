@@ -93,12 +93,13 @@ Build = Callable[[Keep], Mapping[str, DataFrame]]
 
 
 def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame] | Build,
-            check: Callable[[dict[str, DataFrame]], DataFrame] | None = None, version: str | None = None,
+            check: Callable[[dict[str, DataFrame]], DataFrame | Sequence[DataFrame]] | None = None, version: str | None = None,
             before_switch: Callable[[], None] | None = None, retain: int = 2) -> DataFrame | None:
     """Writes a full new version aside, checks what was written, then moves the pointer.
 
     ``tables`` are finished frames, or a builder that writes each table through the
-    function it is given, so that no table is written twice. Readers see the old version
+    function it is given, so that no table is written twice. ``check`` may return its results in parts, which run one after
+    the other: small tables that are sent to a part's joins, and its plan, go before the next begins. Readers see the old version
     until the pointer moves; on any failure it never does. ``before_switch`` may still raise. The ``retain`` versions
     that were current last stay, for readers that hold them; others and what failed runs left are removed. Returns the
     check results.
@@ -113,7 +114,10 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame] | Bu
     written = dict(tables(keep)) if callable(tables) else dict(zip(tables, together(lambda n: keep(n, tables[n]), tables)))
     results = None
     if check is not None:
-        check(written).coalesce(1).write.json(f"{home}/_qualidade")
+        found = check(written)
+        if not isinstance(found, DataFrame):  # a row for each check
+            found = spark.createDataFrame([r for part in found for r in part.collect()], found[0].schema)
+        found.coalesce(1).write.json(f"{home}/_qualidade")
         results = spark.read.json(f"{home}/_qualidade")
         bad = [r[0] for r in results.filter(F.col("status") == FAILED).select("id").collect()]
         if bad:
